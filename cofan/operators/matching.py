@@ -50,13 +50,15 @@ def match_seed(movies: DataFrame, seed: str) -> DataFrame:
 def title_grams(movies: DataFrame, gram: int = GRAM) -> DataFrame:
     """``(movieId, lower_title, gram)``: each distinct substring of length 1..gram once."""
     lt = F.lower(F.col("title"))
-    pieces = [
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(lt) - k + 1, F.lit(0))),
-            lambda i, k=k: F.substring(lt, i, k),
-        )
-        for k in range(1, gram + 1)
-    ]
+
+    def grams_of_length(k: int):
+        # Start positions 1..len-k+1; titles shorter than k give an empty array.
+        starts = F.when(
+            F.length(lt) >= k, F.sequence(F.lit(1), F.length(lt) - k + 1)
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(lt, i, k))
+
+    pieces = [grams_of_length(k) for k in range(1, gram + 1)]
     return (
         movies.select("movieId", lt.alias("lower_title"), F.array_distinct(F.concat(*pieces)).alias("grams"))
         .select("movieId", "lower_title", F.explode("grams").alias("gram"))

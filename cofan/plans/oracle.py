@@ -67,3 +67,72 @@ ORDER BY c.fan_rating_count DESC, m.title ASC NULLS FIRST, c.movieId ASC NULLS F
 {limit}""",
         sources_cte,
     )
+
+
+def seeds_sql() -> str:
+    """Batch seeds derived from the data: every part name and every last word."""
+    return r"""
+seeds AS (
+  SELECT DISTINCT query FROM (
+    SELECT p_name AS query FROM part
+    UNION ALL
+    SELECT regexp_extract(p_name, '(\S+)$', 1) AS query FROM part
+  )
+),
+sq AS (
+  SELECT query AS query_id, lower(regexp_replace(query, '^\s+|\s+$', '', 'g')) AS q
+  FROM seeds WHERE query IS NOT NULL
+),
+sq_nb AS (SELECT * FROM sq WHERE length(q) > 0),
+mt AS (SELECT movieId, title, genres, lower(regexp_replace(title, '\s*\(\d{4}\)$', '')) AS st FROM movies),
+allm AS (
+  SELECT s.query_id, m.movieId, 1 AS tier FROM sq_nb s JOIN mt m ON m.st = s.q
+  UNION ALL
+  SELECT s.query_id, m.movieId, 2 AS tier FROM sq_nb s JOIN mt m ON contains(lower(m.title), s.q)
+),
+src AS (
+  SELECT a.query_id, a.movieId, a.tier FROM allm a
+  JOIN (SELECT query_id, min(tier) AS tier FROM allm GROUP BY query_id) b
+    ON a.query_id = b.query_id AND a.tier = b.tier
+)"""
+
+
+CANDIDATES = r"""
+prow AS (
+  SELECT p_partkey AS k, p_name, p_type, p_size,
+         CAST(1950 + p_size AS VARCHAR) AS own_year,
+         regexp_extract(p_name, '^(\S+)', 1) AS first_word
+  FROM part
+),
+by_name AS (SELECT p_name AS query_title, * FROM prow),
+by_word AS (SELECT first_word AS query_title, * FROM prow),
+name_year AS (SELECT query_title, arg_min(own_year, k) AS release_year FROM by_name GROUP BY query_title),
+word_year AS (
+  SELECT query_title,
+         CASE WHEN length(query_title) % 2 = 0 THEN arg_min(own_year, k) END AS release_year
+  FROM by_word GROUP BY query_title
+),
+cands AS (
+  SELECT b.*, y.release_year FROM by_name b JOIN name_year y USING (query_title)
+  UNION ALL
+  SELECT b.*, y.release_year FROM by_word b JOIN word_year y USING (query_title)
+),
+shaped AS (
+  SELECT query_title, release_year, CAST(k AS INTEGER) AS position,
+         CASE WHEN k % 6 = 0 THEN upper(p_name) WHEN k % 6 = 1 THEN p_name
+              ELSE p_name || ' (sequel)' END AS title,
+         CASE WHEN k % 4 = 0 THEN p_name ELSE p_type END AS original_title,
+         CASE WHEN k % 7 = 0 THEN ''
+              ELSE CAST(CASE WHEN k % 2 = 0 THEN 1950 + p_size ELSE 1951 + p_size END AS VARCHAR) || '-01-01'
+         END AS release_date,
+         CASE WHEN k % 5 = 0 THEN NULL WHEN k % 10 = 3 THEN ''
+              ELSE '/p' || CAST(k AS VARCHAR) || '.jpg' END AS poster_path
+  FROM cands
+),
+candidates AS (
+  SELECT query_title, release_year, 1 AS attempt, position, title, original_title, release_date, poster_path
+  FROM shaped
+  UNION ALL
+  SELECT query_title, release_year, 2 AS attempt, position, title, original_title, release_date, poster_path
+  FROM shaped WHERE release_year IS NOT NULL
+)"""

@@ -54,3 +54,536 @@ register("similar_items_substring", O.corated_sql(O.seed_sources_sql(SEED_SUBSTR
 register("similar_items_full_title", O.corated_sql(O.seed_sources_sql(SEED_FULL_TITLE), 10))(
     _similar(SEED_FULL_TITLE)
 )
+
+
+# ---- C1 batch, C2 variants ------------------------------------------------------
+
+from cofan.operators import aggregates as A  # noqa: E402
+from cofan.operators import catalog as C  # noqa: E402
+from cofan.operators import compare as CMP  # noqa: E402
+from cofan.operators import quality as Q  # noqa: E402
+from cofan.operators import splits as SP  # noqa: E402
+from cofan.operators.matching import match_seeds, seed_status  # noqa: E402
+from cofan import functions as TF  # noqa: E402
+from cofan.functions.formats import thousands  # noqa: E402
+from cofan.functions.titles import search_title as _search_title  # noqa: E402
+from cofan.schemas import MOVIES_SCHEMA, RATINGS_SCHEMA  # noqa: E402
+
+BATCH_TOP_N = 10
+
+
+def batch_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds derived from the data: every distinct part name and every last word."""
+    p = testdata.table(spark, sf_dir, "part")
+    q = p.select(F.col("p_name").alias("query")).unionByName(
+        p.select(F.regexp_extract("p_name", r"(\S+)$", 1).alias("query"))
+    )
+    return q.filter(F.col("query").isNotNull()).distinct().select(F.col("query").alias("query_id"), "query")
+
+
+@register(
+    "similar_items_batch",
+    O.with_views(
+        f"""
+SELECT query_id, rank, movieId, title, genres, fan_rating_count FROM (
+  SELECT c.query_id, c.movieId, m.title, m.genres, c.fan_rating_count,
+         row_number() OVER (PARTITION BY c.query_id
+                            ORDER BY c.fan_rating_count DESC, m.title ASC NULLS FIRST, c.movieId ASC NULLS FIRST) AS rank
+  FROM (
+    SELECT f.query_id, l.movieId, count(*) AS fan_rating_count
+    FROM (SELECT DISTINCT s.query_id, l.userId FROM src s JOIN likes l ON l.movieId = s.movieId) f
+    JOIN likes l ON l.userId = f.userId
+    GROUP BY f.query_id, l.movieId
+  ) c
+  JOIN movies m ON m.movieId = c.movieId
+  WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.query_id = c.query_id AND s.movieId = c.movieId)
+) WHERE rank <= {BATCH_TOP_N}""",
+        O.seeds_sql(),
+    ),
+)
+def similar_items_batch(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    out = corating.recommend_batch(ratings, movies, batch_seeds(spark, sf_dir), top_n=BATCH_TOP_N)
+    return out.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@register(
+    "similar_items_seed_status",
+    O.with_views(
+        """
+SELECT s.query_id, s.query,
+       CASE WHEN length(q.q) = 0 THEN 'blank'
+            WHEN t.tier IS NULL THEN 'no_match'
+            WHEN t.tier = 1 THEN 'exact' ELSE 'substring' END AS status,
+       coalesce(t.n, 0) AS source_count
+FROM (SELECT query AS query_id, query FROM seeds) s
+JOIN sq q ON q.query_id = s.query_id
+LEFT JOIN (SELECT query_id, min(tier) AS tier, count(*) AS n FROM src GROUP BY query_id) t
+  ON t.query_id = s.query_id""",
+        O.seeds_sql(),
+    ),
+)
+def similar_items_seed_status(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    seeds = batch_seeds(spark, sf_dir)
+    return seed_status(seeds, match_seeds(movies, seeds))
+
+
+CORATED_ID = 7
+CORATED_IDS = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
+IDS_SQL = ", ".join(str(i) for i in CORATED_IDS)
+
+
+@register("corated_by_id", O.corated_sql(f"sources AS (SELECT {CORATED_ID} AS movieId)", None))
+def corated_by_id(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, [CORATED_ID]), top_n=None)
+
+
+@register(
+    "corated_by_id_list",
+    O.corated_sql(f"sources AS (SELECT unnest([{IDS_SQL}]) AS movieId)", 20),
+)
+def corated_by_id_list(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, CORATED_IDS), top_n=20)
+
+
+@register("corated_keep_source", O.corated_sql(f"sources AS (SELECT {CORATED_ID} AS movieId)", None, exclude=False))
+def corated_keep_source(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return corating.recommend_for_ids(
+        ratings, movies, corating.ids_frame(spark, [CORATED_ID]), top_n=None, exclude_sources=False
+    )
+
+
+@register(
+    "popular_candidates",
+    O.with_views(
+        f"""
+SELECT c.movieId, m.title, m.genres, c.fan_rating_count, n.num_ratings
+FROM (
+  SELECT movieId, count(*) AS fan_rating_count FROM likes
+  WHERE userId IN (SELECT userId FROM likes WHERE movieId IN ({IDS_SQL}))
+    AND movieId NOT IN ({IDS_SQL})
+  GROUP BY movieId
+) c
+JOIN movies m ON m.movieId = c.movieId
+JOIN (SELECT movieId, count(*) AS num_ratings FROM ratings GROUP BY movieId) n ON n.movieId = c.movieId
+WHERE n.num_ratings >= 20"""
+    ),
+)
+def popular_candidates(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    recs = corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, CORATED_IDS), top_n=None)
+    return A.popular_only(recs, ratings, 20)
+
+
+@register(
+    "genre_summary",
+    O.with_views(
+        """
+SELECT count(*) AS result_rows, sum(fan_rating_count) AS total_signals,
+       (SELECT count(DISTINCT g) FROM (SELECT unnest(string_split(genres, '|')) AS g FROM r
+        WHERE genres IS NOT NULL) WHERE g <> '(no genres listed)') AS genres_represented
+FROM r""",
+        "r AS (" + O.corated_sql(O.seed_sources_sql(SEED_EXACT), 10).replace("WITH ", "SELECT * FROM (WITH ", 1) + "))",
+    ),
+)
+def genre_summary(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return corating.result_summary(corating.recommend_similar(ratings, movies, SEED_EXACT, top_n=10))
+
+
+# ---- C3, C4, aggregates -----------------------------------------------------------
+
+
+@register(
+    "top_movies",
+    O.with_views(
+        """
+SELECT s.movieId, m.title, m.genres, s.rating_count, s.average_rating
+FROM (SELECT movieId, count(*) AS rating_count, round(avg(rating), 3) AS average_rating
+      FROM ratings GROUP BY movieId) s
+JOIN movies m ON m.movieId = s.movieId
+ORDER BY rating_count DESC, average_rating DESC NULLS LAST, m.title ASC NULLS FIRST, s.movieId ASC NULLS FIRST
+LIMIT 100"""
+    ),
+)
+def top_movies(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return A.top_movies(ratings, movies, 100)
+
+
+@register(
+    "most_rated_top10",
+    O.with_views(
+        """
+SELECT s.movieId, m.title, m.genres, s.rating_count
+FROM (SELECT movieId, count(*) AS rating_count FROM ratings GROUP BY movieId) s
+JOIN movies m ON m.movieId = s.movieId
+ORDER BY rating_count DESC, m.title ASC NULLS FIRST, s.movieId ASC NULLS FIRST
+LIMIT 10"""
+    ),
+)
+def most_rated_top10(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return A.most_rated(ratings, movies, 10)
+
+
+@register("mean_rating_by_movie", O.with_views("SELECT movieId, avg(rating) AS mean_rating FROM ratings GROUP BY movieId"))
+def mean_rating_by_movie(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return A.mean_rating_by_movie(ratings)
+
+
+@register(
+    "mean_rating_group_count",
+    O.with_views("SELECT count(*) AS movie_groups FROM (SELECT movieId, avg(rating) FROM ratings GROUP BY movieId)"),
+)
+def mean_rating_group_count(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return A.mean_rating_group_count(ratings)
+
+
+@register(
+    "dataset_overview",
+    O.with_views(
+        """
+SELECT count(*) AS rating_rows, count(DISTINCT userId) AS unique_users,
+       count(DISTINCT movieId) AS unique_movies_rated, avg(rating) AS average_rating,
+       min(rating) AS minimum_rating, max(rating) AS maximum_rating
+FROM ratings"""
+    ),
+)
+def dataset_overview(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return A.overview(ratings)
+
+
+@register(
+    "rating_time_range",
+    O.with_views(
+        """
+SELECT min("timestamp") AS earliest_epoch, max("timestamp") AS latest_epoch,
+       strftime(make_timestamp(min("timestamp") * 1000000), '%Y-%m-%d %H:%M:%S') AS earliest_utc,
+       strftime(make_timestamp(max("timestamp") * 1000000), '%Y-%m-%d %H:%M:%S') AS latest_utc
+FROM ratings"""
+    ),
+)
+def rating_time_range(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return A.time_range(ratings)
+
+
+@register(
+    "rating_distribution",
+    O.with_views("SELECT rating, count(*) AS rating_count FROM ratings GROUP BY rating ORDER BY rating"),
+)
+def rating_distribution(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return A.rating_distribution(ratings)
+
+
+@register(
+    "row_counts",
+    O.with_views(
+        """
+SELECT 'ratings' AS table_name, count(*) AS row_count FROM ratings
+UNION ALL SELECT 'movies' AS table_name, count(*) AS row_count FROM movies"""
+    ),
+)
+def row_counts(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return A.row_counts(ratings, movies)
+
+
+# ---- quality ------------------------------------------------------------------------
+
+
+def _null_sql(table: str, cols: list[str]) -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count_if(\"{c}\" IS NULL) AS null_count FROM {table}"
+        for c in cols
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+@register(
+    "null_profile",
+    O.with_views(
+        _null_sql("ratings", RATINGS_SCHEMA.fieldNames()) + "\nUNION ALL " + _null_sql("movies", MOVIES_SCHEMA.fieldNames())
+    ),
+)
+def null_profile(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return Q.null_profile(ratings, "ratings").unionByName(Q.null_profile(movies, "movies"))
+
+
+@register(
+    "key_uniqueness",
+    O.with_views(
+        """
+SELECT 'movies' AS table_name, sum(n) AS row_count,
+       count_if(movieId IS NOT NULL) AS distinct_keys,
+       count_if(movieId IS NOT NULL AND n > 1) AS duplicate_keys,
+       coalesce(sum(CASE WHEN movieId IS NULL THEN n END), 0) AS null_keys
+FROM (SELECT movieId, count(*) AS n FROM movies GROUP BY movieId)"""
+    ),
+)
+def key_uniqueness(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    return Q.key_uniqueness(movies, "movieId", "movies")
+
+
+def _cast_sql(table: str, schema) -> str:
+    duck = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    parts = []
+    for f in schema.fields:
+        t = f.dataType.simpleString()
+        v = f'CAST("{f.name}" AS VARCHAR)'
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, '{t}' AS target_type, "
+            f"count_if({v} IS NOT NULL) AS non_null, "
+            f"count_if({v} IS NOT NULL AND TRY_CAST({v} AS {duck[t]}) IS NULL) AS failures FROM {table}"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+@register(
+    "cast_failures",
+    O.with_views(_cast_sql("ratings", RATINGS_SCHEMA) + "\nUNION ALL " + _cast_sql("movies", MOVIES_SCHEMA)),
+)
+def cast_failures(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return Q.cast_failures(Q.as_text(ratings), RATINGS_SCHEMA, "ratings").unionByName(
+        Q.cast_failures(Q.as_text(movies), MOVIES_SCHEMA, "movies")
+    )
+
+
+@register(
+    "unrated_movies",
+    O.with_views(
+        """
+SELECT movieId, title, genres FROM movies m
+WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.rating = 5.0 AND r.movieId = m.movieId)"""
+    ),
+)
+def unrated_movies(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return A.unrated_movies(movies, ratings.filter(F.col("rating") == 5.0))
+
+
+# ---- title functions, catalogue -----------------------------------------------------
+
+ARTICLE_ROWS = [
+    (-1, "Matrix, The (1999)", "Action|Sci-Fi"),
+    (-2, "Beautiful Mind, A (2001)  ", "Drama"),
+    (-3, "X, the (2000)", None),
+    (-4, "Nothing", "(no genres listed)"),
+    (-5, "Apple, An (1980)", "Comedy|Drama"),
+]
+
+
+def _article_sql() -> str:
+    vals = ", ".join(
+        "({}, '{}', {})".format(i, t.replace("'", "''"), "NULL" if g is None else "'" + g + "'")
+        for i, t, g in ARTICLE_ROWS
+    )
+    return f"lit(movieId, title, genres) AS (VALUES {vals})"
+
+
+@register(
+    "title_functions",
+    O.with_views(
+        r"""
+SELECT movieId, title, search_title, release_year, clean_title,
+       CASE WHEN release_year IS NULL THEN clean_title
+            ELSE clean_title || ' (' || release_year || ')' END AS display_title,
+       genres_display
+FROM (
+  SELECT movieId, title,
+         lower(regexp_replace(title, '\s*\(\d{4}\)$', '')) AS search_title,
+         nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '') AS release_year,
+         regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'),
+                        '^(.+), (The|A|An)$', '\2 \1') AS clean_title,
+         replace(genres, '|', ' · ') AS genres_display
+  FROM (SELECT movieId, title, genres FROM movies UNION ALL SELECT * FROM lit)
+)""",
+        _article_sql(),
+    ),
+)
+def title_functions(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    extra = spark.createDataFrame(ARTICLE_ROWS, "movieId bigint, title string, genres string")
+    t = F.col("title")
+    return movies.unionByName(extra).select(
+        "movieId",
+        "title",
+        _search_title(t).alias("search_title"),
+        TF.release_year(t).alias("release_year"),
+        TF.clean_title(t).alias("clean_title"),
+        TF.display_title(t).alias("display_title"),
+        TF.genre_display("genres").alias("genres_display"),
+    )
+
+
+@register("title_listing", O.with_views("SELECT title FROM movies ORDER BY title ASC NULLS FIRST"))
+def title_listing(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    return C.title_listing(movies)
+
+
+LOOKUP_TITLE = "small ring (1961)"
+
+
+@register(
+    "title_lookup",
+    O.with_views(
+        f"SELECT movieId, title, genres FROM movies WHERE title = '{LOOKUP_TITLE}' "
+        "ORDER BY movieId ASC NULLS FIRST LIMIT 1"
+    ),
+)
+def title_lookup(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    return C.title_lookup(movies, LOOKUP_TITLE)
+
+
+LOOKUP_ID = 1
+
+
+@register(
+    "movie_rating_count",
+    O.with_views(
+        f"SELECT CAST({LOOKUP_ID} AS BIGINT) AS movieId, count(*) AS rating_count FROM ratings WHERE movieId = {LOOKUP_ID}"
+    ),
+)
+def movie_rating_count(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return C.movie_rating_count(ratings, LOOKUP_ID)
+
+
+LABELS = C.POPULAR_LABELS + ["Small Ring", "red widget", "BLUE BOLT", "Nothing Here"]
+
+
+@register(
+    "popular_label_lookup",
+    O.with_views(
+        r"""
+SELECT l.label, b.full_title
+FROM lab l
+LEFT JOIN (
+  SELECT k, min(title) AS full_title FROM (
+    SELECT lower(regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''),
+                 '^\s+|\s+$', '', 'g'), '^(.+), (The|A|An)$', '\2 \1')) AS k, title
+    FROM movies) GROUP BY k
+) b ON b.k = lower(l.label)""",
+        "lab(label) AS (VALUES " + ", ".join("('" + x + "')" for x in LABELS) + ")",
+    ),
+)
+def popular_label_lookup(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    labels = spark.createDataFrame([(x,) for x in LABELS], "label string")
+    return C.resolve_labels(movies, labels)
+
+
+@register(
+    "title_search",
+    O.with_views("SELECT movieId, title FROM movies WHERE contains(title, 'ring')"),
+)
+def title_search(spark, sf_dir):
+    _, movies = testdata.load(spark, sf_dir)
+    return movies.filter(F.col("title").contains("ring")).select("movieId", "title")
+
+
+@register(
+    "catalog_best_match",
+    O.with_views(
+        """
+SELECT query_title, release_year, attempt, position, title, release_date, poster_path,
+       CASE tier WHEN 1 THEN 'title_and_year' WHEN 2 THEN 'title' WHEN 3 THEN 'year' ELSE 'fallback' END AS match_tier,
+       'https://image.tmdb.org/t/p/w500' || poster_path AS image_url
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_title, release_year
+                               ORDER BY (tier = 4), attempt, tier, position) AS rn
+  FROM (
+    SELECT *, CASE WHEN th AND yh THEN 1 WHEN th THEN 2
+                   WHEN release_year IS NOT NULL AND yh THEN 3 ELSE 4 END AS tier
+    FROM (
+      SELECT *,
+        (lower(coalesce(title, '')) = lower(query_title)
+         OR lower(coalesce(original_title, '')) = lower(query_title)) AS th,
+        (CASE WHEN length(nullif(release_date, '')) >= 4 THEN substr(release_date, 1, 4) END)
+          IS NOT DISTINCT FROM release_year AS yh
+      FROM candidates
+      WHERE poster_path IS NOT NULL AND poster_path <> ''
+    )
+  )
+) WHERE rn = 1""",
+        O.CANDIDATES,
+    ),
+)
+def catalog_best_match(spark, sf_dir):
+    cands = testdata.catalogue_candidates(testdata.table(spark, sf_dir, "part"))
+    return C.best_matches(cands)
+
+
+# ---- sample vs full, splits ---------------------------------------------------------
+
+SAMPLE_ROWS = 20000
+
+
+def _overview_sql(src: str) -> str:
+    return (
+        f"SELECT count(*)::DOUBLE AS rating_rows, count(DISTINCT userId)::DOUBLE AS unique_users, "
+        f"count(DISTINCT movieId)::DOUBLE AS unique_movies_rated, avg(rating)::DOUBLE AS average_rating, "
+        f"min(rating)::DOUBLE AS minimum_rating, max(rating)::DOUBLE AS maximum_rating FROM {src}"
+    )
+
+
+def _top10_sql(src: str) -> str:
+    return (
+        f"SELECT row_number() OVER (ORDER BY c.n DESC, m.title ASC NULLS FIRST, c.movieId ASC NULLS FIRST) AS rank, "
+        f"c.movieId FROM (SELECT movieId, count(*) AS n FROM {src} GROUP BY movieId) c "
+        f"JOIN movies m ON m.movieId = c.movieId "
+        f"ORDER BY c.n DESC, m.title ASC NULLS FIRST, c.movieId ASC NULLS FIRST LIMIT 10"
+    )
+
+
+@register(
+    "sample_vs_full",
+    O.with_views(
+        f"""
+SELECT s.metric, s.v AS sample_value, f.v AS full_value, s.v - f.v AS difference
+FROM (UNPIVOT ({_overview_sql('smp')}) ON COLUMNS(*) INTO NAME metric VALUE v) s
+JOIN (UNPIVOT ({_overview_sql('ratings')}) ON COLUMNS(*) INTO NAME metric VALUE v) f ON s.metric = f.metric
+UNION ALL
+SELECT 'top10_same_rank' AS metric, cnt AS sample_value, 10.0 AS full_value, cnt - 10.0 AS difference
+FROM (SELECT count_if(a.movieId = b.movieId)::DOUBLE AS cnt
+      FROM ({_top10_sql('smp')}) a FULL JOIN ({_top10_sql('ratings')}) b ON a.rank = b.rank)""",
+        f"""smp AS (SELECT * FROM ratings
+  ORDER BY userId ASC NULLS FIRST, movieId ASC NULLS FIRST, "timestamp" ASC NULLS FIRST, rating ASC NULLS FIRST
+  LIMIT {SAMPLE_ROWS})""",
+    ),
+)
+def sample_vs_full(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return CMP.sample_vs_full(ratings, movies, SAMPLE_ROWS)
+
+
+def _bucket_sql(word: int) -> str:
+    key = """CAST(userId AS VARCHAR) || ':' || CAST(movieId AS VARCHAR) || ':' || CAST("timestamp" AS VARCHAR)"""
+    return f"(('0x' || substr(md5({key}), {1 + 8 * word}, 8))::UBIGINT % 100)"
+
+
+@register(
+    "hash_split_counts",
+    O.with_views(
+        f"""
+SELECT count(*) AS sample_rows, count_if(inner_b < 80) AS train_rows, count_if(inner_b >= 80) AS test_rows
+FROM (SELECT {_bucket_sql(0)} AS b, {_bucket_sql(1)} AS inner_b FROM ratings) WHERE b < 5"""
+    ),
+)
+def hash_split_counts(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return SP.hash_split_counts(ratings, 5, 80)

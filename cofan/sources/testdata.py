@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofan.functions.titles import release_year
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -61,27 +60,48 @@ def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def catalogue_candidates(part: DataFrame) -> DataFrame:
     """Search-candidate rows derived from ``part`` for the catalogue matcher.
 
-    One query per part name (``query_title`` = the name, ``release_year`` =
-    year of the part's title); every part sharing that name is a candidate in
-    attempt 1 at position = its key, and again in attempt 2 when the query has a
-    year.  ``original_title`` = type, ``release_date`` = ``(1950+size)-01-01``
-    for even keys and a shifted year for odd keys, empty for keys divisible by 7;
-    ``poster_path`` is NULL for every fifth key and empty for keys ending in 3.
+    Two query families, both over every part row:
+
+    * query = a part name; candidates = the parts with that name;
+      query year = year of the lowest-keyed such part.
+    * query = the first word of a name; candidates = the parts whose name starts
+      with it; query year = as above, or NULL when the word has odd length.
+
+    Per candidate (key k): title = upper-cased name (k % 6 = 0), the name
+    (k % 6 = 1) or ``name (sequel)``; original title = the name when k % 4 = 0,
+    else the type; release date = empty (k % 7 = 0), ``(1950+size)-01-01`` for
+    even k, ``(1951+size)-01-01`` for odd k; image path NULL (k % 5 = 0), empty
+    (k % 10 = 3) or ``/p<k>.jpg``.  Attempt 1 lists every candidate at
+    position k; attempt 2 repeats them when the query has a year.
     """
-    m = part.select(
-        "p_partkey",
-        "p_name",
-        "p_type",
-        "p_size",
-        release_year(F.concat(F.col("p_name"), F.lit(" ("), (F.lit(1950) + F.col("p_size")).cast("string"), F.lit(")"))).alias("own_year"),
+    own_year = (F.lit(1950) + F.col("p_size")).cast("string")
+    first_word = F.regexp_extract(F.col("p_name"), r"^(\S+)", 1)
+    rows = part.select(
+        F.col("p_partkey").alias("k"),
+        F.col("p_name"),
+        F.col("p_type"),
+        F.col("p_size"),
+        own_year.alias("own_year"),
+        first_word.alias("first_word"),
     )
-    k = F.col("p_partkey")
+    by_name = rows.select(F.col("p_name").alias("query_title"), "*")
+    by_word = rows.select(F.col("first_word").alias("query_title"), "*")
+    name_year = by_name.groupBy("query_title").agg(F.min_by("own_year", "k").alias("release_year"))
+    word_year = by_word.groupBy("query_title").agg(
+        F.when(F.length("query_title") % 2 == 0, F.min_by("own_year", "k")).alias("release_year")
+    )
+    cands = by_name.join(name_year, "query_title").unionByName(by_word.join(word_year, "query_title"))
+    k = F.col("k")
     date_year = F.when(k % 2 == 0, F.lit(1950) + F.col("p_size")).otherwise(F.lit(1951) + F.col("p_size"))
-    base = m.select(
-        F.col("p_name").alias("query_title"),
-        k.alias("p_partkey"),
-        F.col("p_name").alias("title"),
-        F.col("p_type").alias("original_title"),
+    shaped = cands.select(
+        "query_title",
+        "release_year",
+        k.cast("int").alias("position"),
+        F.when(k % 6 == 0, F.upper("p_name"))
+        .when(k % 6 == 1, F.col("p_name"))
+        .otherwise(F.concat(F.col("p_name"), F.lit(" (sequel)")))
+        .alias("title"),
+        F.when(k % 4 == 0, F.col("p_name")).otherwise(F.col("p_type")).alias("original_title"),
         F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(date_year.cast("string"), F.lit("-01-01"))).alias(
             "release_date"
         ),
@@ -89,24 +109,9 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
         .when(k % 10 == 3, F.lit(""))
         .otherwise(F.concat(F.lit("/p"), k.cast("string"), F.lit(".jpg")))
         .alias("poster_path"),
-        F.col("own_year"),
-    )
-    # The query's year: the year of the lowest-keyed part with that name.
-    first = (
-        m.groupBy("p_name")
-        .agg(F.min_by("own_year", "p_partkey").alias("release_year"))
-        .withColumnRenamed("p_name", "query_title")
     )
-    cands = base.join(first, "query_title")
-    attempt1 = cands.withColumn("attempt", F.lit(1))
-    attempt2 = cands.filter(F.col("release_year").isNotNull()).withColumn("attempt", F.lit(2))
+    attempt1 = shaped.withColumn("attempt", F.lit(1))
+    attempt2 = shaped.filter(F.col("release_year").isNotNull()).withColumn("attempt", F.lit(2))
     return attempt1.unionByName(attempt2).select(
-        "query_title",
-        "release_year",
-        F.col("attempt").cast("int").alias("attempt"),
-        F.col("p_partkey").cast("int").alias("position"),
-        "title",
-        "original_title",
-        "release_date",
-        "poster_path",
+        "query_title", "release_year", "attempt", "position", "title", "original_title", "release_date", "poster_path"
     )
