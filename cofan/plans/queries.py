@@ -587,3 +587,110 @@ FROM (SELECT {_bucket_sql(0)} AS b, {_bucket_sql(1)} AS inner_b FROM ratings) WH
 def hash_split_counts(spark, sf_dir):
     ratings, _ = testdata.load(spark, sf_dir)
     return SP.hash_split_counts(ratings, 5, 80)
+
+
+# ---- rows-only queries (no SQL twin) ------------------------------------------------
+
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from cofan.operators import als as ALSOPS  # noqa: E402
+from cofan.operators.cards import result_cards  # noqa: E402
+from cofan.session import checkpoint_dir  # noqa: E402
+from cofan.sources import csv as CSV  # noqa: E402
+from cofan.sources import files as FILES  # noqa: E402
+from cofan.sources import sinks as SINKS  # noqa: E402
+
+
+def scratch_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
+    return os.path.join(checkpoint_dir(spark), "cofan-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+@register("recommendation_cards")
+def recommendation_cards(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    recs = corating.recommend_similar(ratings, movies, SEED_EXACT, top_n=10)
+    picks = C.best_matches(testdata.catalogue_candidates(testdata.table(spark, sf_dir, "part")))
+    return result_cards(recs, picks)
+
+
+_ALS_CACHE: dict = {}
+
+
+def _als(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ALS_CACHE:
+        ratings, _ = testdata.load(spark, sf_dir)
+        model, train, test = ALSOPS.experiment(ratings)
+        _ALS_CACHE[key] = (model, test)
+    return _ALS_CACHE[key]
+
+
+@register("als_predictions")
+def als_predictions(spark, sf_dir):
+    model, test = _als(spark, sf_dir)
+    return ALSOPS.predict(model, test)
+
+
+@register("als_rmse")
+def als_rmse(spark, sf_dir):
+    model, test = _als(spark, sf_dir)
+    return ALSOPS.rmse_frame(ALSOPS.predict(model, test))
+
+
+@register("als_top10_titles")
+def als_top10_titles(spark, sf_dir):
+    model, _ = _als(spark, sf_dir)
+    _, movies = testdata.load(spark, sf_dir)
+    return ALSOPS.with_titles(ALSOPS.recommend_all(model, 10), movies)
+
+
+@register("als_popular_recs")
+def als_popular_recs(spark, sf_dir):
+    model, _ = _als(spark, sf_dir)
+    ratings, movies = testdata.load(spark, sf_dir)
+    return ALSOPS.popular_recs(ALSOPS.recommend_all(model, 10), movies, ratings, 20)
+
+
+@register("random_sample_split")
+def random_sample_split(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    sample = SP.sample(ratings, 0.05, 42)
+    train, test = SP.random_split(sample, (0.8, 0.2), 42)
+    return train.select(F.lit("train").alias("part"), "*").unionByName(test.select(F.lit("test").alias("part"), "*"))
+
+
+def _write_snapshot(spark, sf_dir) -> str:
+    """The adapter tables written as a CSV snapshot (one folder per table)."""
+    out = scratch_dir(spark, "snapshot")
+    ratings, movies = testdata.load(spark, sf_dir)
+    SINKS.write_csv(ratings, os.path.join(out, "ratings.csv"), single_file=False)
+    # Reordered header: must still bind by name.
+    SINKS.write_csv(movies.select("title", "genres", "movieId"), os.path.join(out, "movies.csv"), single_file=False)
+    return out
+
+
+@register("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    snap = _write_snapshot(spark, sf_dir)
+    ratings, movies = CSV.load(spark, snap)
+    return A.top_movies(ratings, movies, 100)
+
+
+@register("input_contract")
+def input_contract(spark, sf_dir):
+    snap = _write_snapshot(spark, sf_dir)
+    from cofan.schemas import REQUIRED_COLUMNS
+
+    headers = spark.createDataFrame(
+        [(f, CSV.read_header(spark, os.path.join(snap, f))) for f in REQUIRED_COLUMNS],
+        "file_name string, columns array<string>",
+    )
+    return Q.contract_report(headers, REQUIRED_COLUMNS)
+
+
+@register("snapshot_fingerprint")
+def snapshot_fingerprint(spark, sf_dir):
+    names = [f"{t}.parquet" for t in testdata.TABLES]
+    return FILES.fingerprint(spark, sf_dir, names)

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source workload is batch only: it has no stream source, watermark,
+event-time window or stateful operator, so there is nothing to re-express
+with Structured Streaming here.  Every operator in ``cofan.operators`` is a
+plain DataFrame transformation and can be applied inside ``foreachBatch`` if a
+caller streams rating files in.
+"""
