@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cofan.operators.matching import match_seed, match_seeds
+from cofan.operators.matching import match_seed, match_seeds, seed_candidates
 
 DEFAULT_MIN_RATING = 4.5
 DEFAULT_TOP_N = 10
@@ -86,9 +86,11 @@ def recommend_similar(ratings: DataFrame, movies: DataFrame, seed: str, top_n: i
     """
     if seed is None or not seed.strip():
         raise ValueError("movie_title must not be empty.")
-    sources = match_seed(movies, seed)
-    if check and sources.isEmpty():
+    # Some title matches iff some candidate of either tier exists: a one-stage
+    # filtered scan of the dimension that stops at the first hit.
+    if check and seed_candidates(movies, seed).isEmpty():
         raise ValueError(f"No movie found for title: {seed}")
+    sources = match_seed(movies, seed)
     return top_k(with_titles(corated_counts(ratings, sources, min_rating), movies), top_n)
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofan.functions.titles import normalise_query, search_title
+from cofan.operators.joins import broadcast_if_small
 
 GRAM = 3
 EXACT, SUBSTRING = 1, 2
@@ -33,8 +34,8 @@ def normalise(text: str) -> str:
     return text.strip().lower()
 
 
-def match_seed(movies: DataFrame, seed: str) -> DataFrame:
-    """``(movieId, tier)`` of every source movie for one seed string."""
+def seed_candidates(movies: DataFrame, seed: str) -> DataFrame:
+    """``(movieId, tier)`` for every title hit by either tier (before tier selection)."""
     q = normalise(seed)
     title = F.col("title")
     cand = movies.select(
@@ -43,27 +44,33 @@ def match_seed(movies: DataFrame, seed: str) -> DataFrame:
         .when(F.lower(title).contains(F.lit(q)), F.lit(SUBSTRING))
         .alias("tier"),
     ).filter(F.col("tier").isNotNull())
+    return cand
+
+
+def match_seed(movies: DataFrame, seed: str) -> DataFrame:
+    """``(movieId, tier)`` of every source movie for one seed string."""
+    cand = seed_candidates(movies, seed)
     best = cand.agg(F.min("tier").alias("tier"))
     return cand.join(F.broadcast(best), "tier").select("movieId", "tier")
 
 
 def title_grams(movies: DataFrame, gram: int = GRAM) -> DataFrame:
-    """``(movieId, lower_title, gram)``: each distinct substring of length 1..gram once."""
+    """``(movieId, lower_title, gram)``: every substring of length 1..``gram``.
+
+    One row per (start position, length), built with ``explode(sequence)`` and
+    ``substring`` so the whole step stays in generated code (no lambda).  A
+    substring that would run past the end is dropped; a gram that occurs at
+    several positions gives several rows, which only repeat join hits and are
+    removed by the ``distinct`` after the ``contains`` test.
+    """
     lt = F.lower(F.col("title"))
-
-    def grams_of_length(k: int):
-        # Start positions 1..len-k+1; titles shorter than k give an empty array.
-        starts = F.when(
-            F.length(lt) >= k, F.sequence(F.lit(1), F.length(lt) - k + 1)
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(lt, i, k))
-
-    pieces = [grams_of_length(k) for k in range(1, gram + 1)]
-    return (
-        movies.select("movieId", lt.alias("lower_title"), F.array_distinct(F.concat(*pieces)).alias("grams"))
-        .select("movieId", "lower_title", F.explode("grams").alias("gram"))
-        .filter(F.length("gram") > 0)
+    starts = movies.select(
+        "movieId",
+        lt.alias("lower_title"),
+        F.explode(F.sequence(F.lit(1), F.greatest(F.length(lt), F.lit(1)))).alias("i"),
     )
+    pieces = F.array(*[F.substring(F.col("lower_title"), F.col("i"), k) for k in range(1, gram + 1)])
+    return starts.select("movieId", "lower_title", F.explode(pieces).alias("gram")).filter(F.length("gram") > 0)
 
 
 def normalise_seeds(seeds: DataFrame, query_col: str = "query") -> DataFrame:
@@ -73,23 +80,33 @@ def normalise_seeds(seeds: DataFrame, query_col: str = "query") -> DataFrame:
 
 def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
                 gram: int = GRAM) -> DataFrame:
-    """``(query_id, movieId, tier)`` for a table of seeds ``(query_id, <query_col>)``."""
-    s = normalise_seeds(seeds, query_col)
+    """``(query_id, movieId, tier)`` for a table of seeds ``(query_id, <query_col>)``.
+
+    Tier selection never groups matches by seed: the exact tier is an
+    equi-join; the seeds it hit are removed from the probe side by an anti
+    join (a seed-sized step); the substring tier then runs only for the
+    remaining seeds.  The seed side is broadcast to the joins only when its
+    row count is checked to be small (``joins.broadcast_if_small``); otherwise
+    the joins shuffle on their keys.
+    """
+    s = broadcast_if_small(
+        normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
+    )
     exact = (
         movies.select("movieId", search_title(F.col("title")).alias("q"))
-        .join(s, "q")
+        .join(s.select("query_id", "q"), "q")
         .select("query_id", "movieId", F.lit(EXACT).alias("tier"))
     )
-    probe = s.select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
+    remaining = s.join(exact.select("query_id"), "query_id", "left_anti")
     sub = (
         title_grams(movies, gram)
-        .join(probe, "gram")
+        .join(remaining, "gram")
         .filter(F.col("lower_title").contains(F.col("q")))
+        .select("query_id", "movieId")
+        .distinct()
         .select("query_id", "movieId", F.lit(SUBSTRING).alias("tier"))
     )
-    matches = exact.unionByName(sub)
-    best = matches.groupBy("query_id").agg(F.min("tier").alias("tier"))
-    return matches.join(best, ["query_id", "tier"]).select("query_id", "movieId", "tier")
+    return exact.unionByName(sub)
 
 
 def seed_status(seeds: DataFrame, matches: DataFrame, query_col: str = "query") -> DataFrame:

@@ -23,8 +23,30 @@ TABLES = (
 ).split()
 
 
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``<sf_dir>/<name>.parquet``.
+
+    The relation (file listing and footer schema) is resolved once per session
+    and path and then reused, like a catalog table: building a query no longer
+    re-lists files.  Nothing is cached; every action still scans the files.
+    Call ``refresh`` after the files change.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
+
+
+def refresh(spark: SparkSession, sf_dir: str | None = None) -> None:
+    """Forget resolved relations (all, or those under ``sf_dir``) and Spark's file listings."""
+    for key in [k for k in _RELATIONS if sf_dir is None or k[1].startswith(sf_dir.rstrip("/") + "/")]:
+        spark.catalog.refreshByPath(key[1])
+        del _RELATIONS[key]
 
 
 def ratings_view(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
