@@ -60,6 +60,14 @@ def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:
     )
 
 
+def recommend_for_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:
+    """Flattened top-``k`` for the users in ``users`` (a frame with ``userId``)."""
+    recs = model.recommendForUserSubset(users.select("userId").distinct(), k)
+    return recs.select("userId", F.inline("recommendations")).select(
+        "userId", "movieId", F.col("rating").alias("predicted_rating")
+    )
+
+
 def with_titles(flat: DataFrame, movies: DataFrame) -> DataFrame:
     """Left join to the dimension (recommended ids without metadata keep NULL titles)."""
     return flat.join(movies.select("movieId", "title", "genres"), "movieId", "left").select(

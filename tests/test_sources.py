@@ -80,3 +80,22 @@ def test_fingerprint(spark, tmp_path):
 def test_bounded_scan(ratings):
     assert files.bounded_scan(ratings, 10, 100, 3, ["userId"]).count() == 12
     assert files.bounded_scan(ratings, 1000, 100, 3, ["userId", "movieId"]).count() == 3
+
+
+def test_bom_header_and_inferred_read(spark, tmp_path):
+    d = tmp_path / "bom"
+    d.mkdir()
+    (d / "movies.csv").write_bytes("﻿movieId,title,genres\n1,A (2000),X\n".encode("utf-8"))
+    assert CSV.read_header(spark, str(d / "movies.csv")) == ["movieId", "title", "genres"]
+    inferred = CSV.read_inferred(spark, str(d / "movies.csv"))
+    assert inferred.schema["movieId"].dataType.simpleString() == "int"
+    (d / "empty.csv").write_text("")
+    assert CSV.read_header(spark, str(d / "empty.csv")) == []
+
+
+def test_persist_helpers(ratings, movies):
+    from cofan.sources import persist_tables, unpersist_tables
+
+    r, m = persist_tables(ratings, movies)
+    assert r.storageLevel.useDisk and r.count() == 12
+    unpersist_tables(r, m)

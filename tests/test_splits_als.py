@@ -26,3 +26,10 @@ def test_als_workflow(ratings, movies):
     assert titled.filter(F.col("title").isNull()).count() == 0
     pop = ALSOPS.popular_recs(flat, movies, ratings, 3)
     assert pop.filter(F.col("num_ratings") < 3).count() == 0
+
+
+def test_als_user_subset(spark, ratings):
+    model = ALSOPS.fit(ratings, maxIter=2)
+    users = spark.createDataFrame([(1,), (3,)], "userId int")
+    recs = ALSOPS.recommend_for_users(model, users, 2)
+    assert sorted({r["userId"] for r in recs.collect()}) == [1, 3]
