@@ -609,7 +609,27 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_dir(spark), "cofan-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-@register("recommendation_cards")
+def _cards_sql() -> str:
+    clean = r"""regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'), '^(.+), (The|A|An)$', '\2 \1')"""
+    year = r"""nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '')"""
+    body = f"""
+SELECT CAST(row_number() OVER (ORDER BY r.fan_rating_count DESC, r.title ASC NULLS FIRST,
+                                        r.movieId ASC NULLS FIRST) AS INTEGER) AS rank,
+       r.movieId,
+       CASE WHEN r.yr IS NULL THEN r.clean ELSE r.clean || ' (' || r.yr || ')' END AS display_title,
+       replace(coalesce(nullif(r.genres, ''), 'Genres unavailable'), '|', ' · ') AS genres_text,
+       format('{{:,}}', r.fan_rating_count) || ' similar-fan ratings' AS count_text,
+       'https://www.themoviedb.org/search/movie?query=' || replace(url_encode(r.clean), '%20', '+') AS search_link,
+       coalesce(p.image_url, 'placeholder:no-poster') AS image_url
+FROM (SELECT *, {clean} AS clean, {year} AS yr FROM recs0) r
+LEFT JOIN picks p ON p.query_title = r.clean AND p.release_year IS NOT DISTINCT FROM r.yr"""
+    recs = O.corated_sql(O.seed_sources_sql(SEED_EXACT), 10)
+    return O.with_views(
+        body, f"recs0 AS (SELECT * FROM ({recs})),\npicks AS (SELECT * FROM ({SQL['catalog_best_match']}))"
+    )
+
+
+@register("recommendation_cards", _cards_sql())
 def recommendation_cards(spark, sf_dir):
     ratings, movies = testdata.load(spark, sf_dir)
     recs = corating.recommend_similar(ratings, movies, SEED_EXACT, top_n=10, check=False)
@@ -673,7 +693,11 @@ def _write_snapshot(spark, sf_dir) -> str:
     return out
 
 
-@register("csv_round_trip")
+@register(
+    "csv_round_trip",
+    # Same result as ``top_movies``, with ids at the CSV contract's int type.
+    SQL["top_movies"].replace("SELECT s.movieId, m.title", "SELECT CAST(s.movieId AS INTEGER) AS movieId, m.title", 1),
+)
 def csv_round_trip(spark, sf_dir):
     snap = _write_snapshot(spark, sf_dir)
     ratings, movies = CSV.load(spark, snap)
