@@ -114,8 +114,13 @@ def rating_distribution(ratings: DataFrame) -> DataFrame:
 
 
 def unrated_movies(movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Movies with no row in ``ratings`` (anti join on movieId)."""
-    return movies.join(ratings.select("movieId"), "movieId", "left_anti").select("movieId", "title", "genres")
+    """Movies with no row in ``ratings`` (anti join on movieId).
+
+    Rated ids are de-duplicated first, so the shuffle carries at most one row
+    per movie and partition instead of every rating row.
+    """
+    rated = ratings.select("movieId").distinct()
+    return movies.join(rated, "movieId", "left_anti").select("movieId", "title", "genres")
 
 
 def popular_only(recs: DataFrame, ratings: DataFrame, min_count: int = 20,

@@ -135,26 +135,24 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
 
 
 def result_summary(recs: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rows, total fan-rating signals and distinct genres of a result (per ``by`` group)."""
-    from cofan.functions.genres import explode_genres
+    """Rows, total fan-rating signals and distinct genres of a result (per ``by`` group).
+
+    One aggregate over ``posexplode_outer`` of the genre list: the first
+    position (or a NULL genre list) stands for the result row itself, so rows
+    and signals are counted once per row while genres are counted over all
+    positions (the sentinel excluded; an empty string counts as a genre).
+    """
+    from cofan.functions.genres import NO_GENRES_SENTINEL, genre_list
 
     by = by or []
-    base = recs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("result_rows"),
-        F.sum("fan_rating_count").alias("total_signals"),
-    )
-    genres = explode_genres(recs.select(*by, "genres")).groupBy(*by).agg(
-        F.count_distinct("genre").alias("genres_represented")
+    exploded = recs.select(
+        *by, "fan_rating_count", F.posexplode_outer(genre_list("genres")).alias("pos", "genre")
     )
-    if not by:
-        # Both sides are single-row global aggregates; attach with a constant key.
-        key = F.lit(1).alias("_k")
-        return (
-            base.select(key, "*")
-            .join(F.broadcast(genres.select(key, "*")), "_k", "left")
-            .select("result_rows", "total_signals",
-                    F.coalesce("genres_represented", F.lit(0)).alias("genres_represented"))
-        )
-    return base.join(genres, by, "left").select(
-        *by, "result_rows", "total_signals", F.coalesce("genres_represented", F.lit(0)).alias("genres_represented")
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    return exploded.groupBy(*by).agg(
+        F.count_if(first).alias("result_rows"),
+        F.sum(F.when(first, F.col("fan_rating_count"))).alias("total_signals"),
+        F.count_distinct(F.when(F.col("genre") != F.lit(NO_GENRES_SENTINEL), F.col("genre"))).alias(
+            "genres_represented"
+        ),
     )

@@ -157,3 +157,17 @@ def test_plan_uses_semi_and_anti_joins_without_collect(ratings, movies):
     plan = corating.recommend_similar(ratings, movies, "Toy Story", check=False)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and "LeftAnti" in plan
     assert "InSet" not in plan and " IN (" not in plan
+
+
+def test_result_summary_edges(spark):
+    recs = spark.createDataFrame(
+        [(1, "A", "Drama|(no genres listed)", 3), (2, "B", None, 2), (3, "C", "(no genres listed)", 1)],
+        "movieId int, title string, genres string, fan_rating_count long",
+    )
+    s = corating.result_summary(recs).collect()[0]
+    assert (s["result_rows"], s["total_signals"], s["genres_represented"]) == (3, 6, 1)
+    empty = corating.result_summary(recs.limit(0)).collect()[0]
+    assert (empty["result_rows"], empty["genres_represented"]) == (0, 0)
+    by = {r["g"]: r["result_rows"] for r in corating.result_summary(
+        recs.withColumn("g", (recs.movieId % 2).cast("int")), ["g"]).collect()}
+    assert by == {0: 1, 1: 2}
