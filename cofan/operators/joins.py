@@ -19,3 +19,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(int(max_rows) + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_or_shuffle(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when checked small, else a sort-merge hint on ``df``.
+
+    For joins whose other side is an ``explode`` output: the planner
+    under-estimates generator output, so without the hint it could choose to
+    broadcast that side.
+    """
+    n = df.limit(int(max_rows) + 1).count()
+    return F.broadcast(df) if n <= max_rows else df.hint("shuffle_merge")

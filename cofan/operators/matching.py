@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofan.functions.titles import normalise_query, search_title
-from cofan.operators.joins import broadcast_if_small
+from cofan.operators.joins import broadcast_or_shuffle
 
 GRAM = 3
 EXACT, SUBSTRING = 1, 2
@@ -57,11 +57,11 @@ def match_seed(movies: DataFrame, seed: str) -> DataFrame:
 def title_grams(movies: DataFrame, gram: int = GRAM) -> DataFrame:
     """``(movieId, lower_title, gram)``: every substring of length 1..``gram``.
 
-    One row per (start position, length), built with ``explode(sequence)`` and
-    ``substring`` so the whole step stays in generated code (no lambda).  A
-    substring that would run past the end is dropped; a gram that occurs at
-    several positions gives several rows, which only repeat join hits and are
-    removed by the ``distinct`` after the ``contains`` test.
+    One row per (start position, length) that fits inside the title, built with
+    ``explode(sequence)`` and ``substring`` so the whole step stays in generated
+    code (no lambda).  A gram that occurs at several positions gives several
+    rows; they only repeat join hits, which the ``distinct`` after the
+    ``contains`` test removes.
     """
     lt = F.lower(F.col("title"))
     starts = movies.select(
@@ -69,8 +69,11 @@ def title_grams(movies: DataFrame, gram: int = GRAM) -> DataFrame:
         lt.alias("lower_title"),
         F.explode(F.sequence(F.lit(1), F.greatest(F.length(lt), F.lit(1)))).alias("i"),
     )
-    pieces = F.array(*[F.substring(F.col("lower_title"), F.col("i"), k) for k in range(1, gram + 1)])
-    return starts.select("movieId", "lower_title", F.explode(pieces).alias("gram")).filter(F.length("gram") > 0)
+    fits = lambda k: F.col("i") + (k - 1) <= F.length("lower_title")
+    pieces = F.array(
+        *[F.when(fits(k), F.substring(F.col("lower_title"), F.col("i"), k)) for k in range(1, gram + 1)]
+    )
+    return starts.select("movieId", "lower_title", F.explode(pieces).alias("gram")).filter(F.col("gram").isNotNull())
 
 
 def normalise_seeds(seeds: DataFrame, query_col: str = "query") -> DataFrame:
@@ -89,7 +92,7 @@ def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
     row count is checked to be small (``joins.broadcast_if_small``); otherwise
     the joins shuffle on their keys.
     """
-    s = broadcast_if_small(
+    s = broadcast_or_shuffle(
         normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
     )
     exact = (
@@ -97,7 +100,7 @@ def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
         .join(s.select("query_id", "q"), "q")
         .select("query_id", "movieId", F.lit(EXACT).alias("tier"))
     )
-    remaining = s.join(exact.select("query_id"), "query_id", "left_anti")
+    remaining = s.join(exact.select("query_id").distinct(), "query_id", "left_anti")
     sub = (
         title_grams(movies, gram)
         .join(remaining, "gram")
