@@ -4,16 +4,17 @@ Plan for one seed (all lazy, no driver round trip for ids):
 
     likes   = ratings[rating >= min_rating](userId, movieId)   -- filter at the scan
     sources = match(movies, seed)                                -- small: ids of one title
-    fans    = likes ⋉ sources  on movieId  -> distinct userId    -- partial + final dedup
+    fans    = likes ⋉ sources  on movieId  -> userId             -- existence only
     counts  = likes ⋉ fans     on userId   -> count per movieId  -- partial aggregation
     result  = (counts ▷ sources) ⋈ movies -> top-k (count desc, title, movieId)
 
 ``▷`` is an anti join (sources are excluded) and ``⋉`` a semi join (a fan is
-counted once however many sources they liked).  The fan semi-join is the one
-wide shuffle of ``likes`` (by userId) unless the cohort is small enough for
-the planner to broadcast; a user holding a large share of all ratings makes
-one skewed partition on the likes side, which AQE's skew-join handling splits
-(semi joins split their left side).  Counting happens before the titles join,
+counted once however many sources they liked, so the fan rows need no
+distinct).  The fan semi-join is the one wide shuffle of ``likes`` (by userId)
+unless the cohort is small enough for the planner to broadcast; a user holding
+a large share of all ratings makes one skewed partition on the likes side,
+which AQE's skew-join handling splits (semi joins split their left side; this
+needs both join inputs to be plain shuffles, see ``tests/test_skew.py``).  Counting happens before the titles join,
 so the dimension join sees one row per candidate movie, and the top-k is a
 ``TakeOrderedAndProject`` (per-partition top-k, no global sort).
 
@@ -59,7 +60,11 @@ def corated_counts(ratings: DataFrame, sources: DataFrame, min_rating: float = D
     """
     src = sources.select("movieId")
     liked = likes(ratings, min_rating)
-    fans = fan_cohort(ratings, src, min_rating)
+    # Fan rows are not de-duplicated: the semi join only tests existence, and
+    # leaving the right side a plain hash shuffle on userId keeps this join
+    # eligible for AQE's skew split (a hot user's likes are divided across
+    # tasks); a distinct there would feed the join from an aggregate instead.
+    fans = liked.join(src, "movieId", "left_semi").select("userId")
     counts = liked.join(fans, "userId", "left_semi").groupBy("movieId").agg(
         F.count(F.lit(1)).alias("fan_rating_count")
     )
