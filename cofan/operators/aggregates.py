@@ -31,6 +31,16 @@ def rating_counts(ratings: DataFrame, name: str = "rating_count") -> DataFrame:
     return ratings.groupBy("movieId").agg(_n().alias(name))
 
 
+def most_rated_ids(ratings: DataFrame, n: int) -> DataFrame:
+    """``movieId`` of the ``n`` most-rated movies (ties by id): a lazy seed set."""
+    return (
+        rating_counts(ratings)
+        .orderBy(F.col("rating_count").desc(), F.col("movieId").asc_nulls_first())
+        .limit(int(n))
+        .select("movieId")
+    )
+
+
 def top_movies(ratings: DataFrame, movies: DataFrame, top_n: int = 100) -> DataFrame:
     """Most-rated movies with their mean rating (3 decimals).
 

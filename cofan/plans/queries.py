@@ -7,13 +7,30 @@ and returns a lazy DataFrame whose column names equal its SQL twin's in
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cofan import functions as TF
+from cofan.functions.titles import search_title as _search_title
+from cofan.operators import aggregates as A
+from cofan.operators import als as ALSOPS
+from cofan.operators import catalog as C
+from cofan.operators import compare as CMP
 from cofan.operators import corating
+from cofan.operators import quality as Q
+from cofan.operators import splits as SP
+from cofan.operators.cards import result_cards
+from cofan.operators.matching import match_seeds, seed_status
 from cofan.plans import oracle as O
+from cofan.schemas import MOVIES_SCHEMA, RATINGS_SCHEMA
+from cofan.session import checkpoint_dir
+from cofan.sources import csv as CSV
+from cofan.sources import files as FILES
+from cofan.sources import sinks as SINKS
 from cofan.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,16 +77,6 @@ register("similar_items_full_title", O.corated_sql(O.seed_sources_sql(SEED_FULL_
 
 # ---- C1 batch, C2 variants ------------------------------------------------------
 
-from cofan.operators import aggregates as A  # noqa: E402
-from cofan.operators import catalog as C  # noqa: E402
-from cofan.operators import compare as CMP  # noqa: E402
-from cofan.operators import quality as Q  # noqa: E402
-from cofan.operators import splits as SP  # noqa: E402
-from cofan.operators.matching import match_seeds, seed_status  # noqa: E402
-from cofan import functions as TF  # noqa: E402
-from cofan.functions.formats import thousands  # noqa: E402
-from cofan.functions.titles import search_title as _search_title  # noqa: E402
-from cofan.schemas import MOVIES_SCHEMA, RATINGS_SCHEMA  # noqa: E402
 
 BATCH_TOP_N = 10
 
@@ -131,53 +138,54 @@ def similar_items_seed_status(spark, sf_dir):
     return seed_status(seeds, match_seeds(movies, seeds))
 
 
-CORATED_ID = 7
-CORATED_IDS = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
-IDS_SQL = ", ".join(str(i) for i in CORATED_IDS)
+# Source sets derived from the data: the most-rated movie, and the ten most-rated
+# movies (ties by id).
+TOP_SOURCES = "sources AS (SELECT movieId FROM (SELECT movieId, count(*) AS n FROM ratings GROUP BY movieId) ORDER BY n DESC, movieId ASC LIMIT {n})"
 
 
-@register("corated_by_id", O.corated_sql(f"sources AS (SELECT {CORATED_ID} AS movieId)", None))
-def corated_by_id(spark, sf_dir):
+def _top_sources(spark, sf_dir, n):
     ratings, movies = testdata.load(spark, sf_dir)
-    return corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, [CORATED_ID]), top_n=None)
+    return ratings, movies, A.most_rated_ids(ratings, n)
 
 
-@register(
-    "corated_by_id_list",
-    O.corated_sql(f"sources AS (SELECT unnest([{IDS_SQL}]) AS movieId)", 20),
-)
+@register("corated_by_id", O.corated_sql(TOP_SOURCES.format(n=1), None))
+def corated_by_id(spark, sf_dir):
+    ratings, movies, src = _top_sources(spark, sf_dir, 1)
+    return corating.recommend_for_ids(ratings, movies, src, top_n=None)
+
+
+@register("corated_by_id_list", O.corated_sql(TOP_SOURCES.format(n=10), 20))
 def corated_by_id_list(spark, sf_dir):
-    ratings, movies = testdata.load(spark, sf_dir)
-    return corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, CORATED_IDS), top_n=20)
+    ratings, movies, src = _top_sources(spark, sf_dir, 10)
+    return corating.recommend_for_ids(ratings, movies, src, top_n=20)
 
 
-@register("corated_keep_source", O.corated_sql(f"sources AS (SELECT {CORATED_ID} AS movieId)", None, exclude=False))
+@register("corated_keep_source", O.corated_sql(TOP_SOURCES.format(n=1), None, exclude=False))
 def corated_keep_source(spark, sf_dir):
-    ratings, movies = testdata.load(spark, sf_dir)
-    return corating.recommend_for_ids(
-        ratings, movies, corating.ids_frame(spark, [CORATED_ID]), top_n=None, exclude_sources=False
-    )
+    ratings, movies, src = _top_sources(spark, sf_dir, 1)
+    return corating.recommend_for_ids(ratings, movies, src, top_n=None, exclude_sources=False)
 
 
 @register(
     "popular_candidates",
     O.with_views(
-        f"""
+        """
 SELECT c.movieId, m.title, m.genres, c.fan_rating_count, n.num_ratings
 FROM (
   SELECT movieId, count(*) AS fan_rating_count FROM likes
-  WHERE userId IN (SELECT userId FROM likes WHERE movieId IN ({IDS_SQL}))
-    AND movieId NOT IN ({IDS_SQL})
+  WHERE userId IN (SELECT userId FROM likes WHERE movieId IN (SELECT movieId FROM sources))
+    AND movieId NOT IN (SELECT movieId FROM sources)
   GROUP BY movieId
 ) c
 JOIN movies m ON m.movieId = c.movieId
 JOIN (SELECT movieId, count(*) AS num_ratings FROM ratings GROUP BY movieId) n ON n.movieId = c.movieId
-WHERE n.num_ratings >= 20"""
+WHERE n.num_ratings >= 20""",
+        TOP_SOURCES.format(n=10),
     ),
 )
 def popular_candidates(spark, sf_dir):
-    ratings, movies = testdata.load(spark, sf_dir)
-    recs = corating.recommend_for_ids(ratings, movies, corating.ids_frame(spark, CORATED_IDS), top_n=None)
+    ratings, movies, src = _top_sources(spark, sf_dir, 10)
+    recs = corating.recommend_for_ids(ratings, movies, src, top_n=None)
     return A.popular_only(recs, ratings, 20)
 
 
@@ -593,16 +601,6 @@ def hash_split_counts(spark, sf_dir):
 
 # ---- rows-only queries (no SQL twin) ------------------------------------------------
 
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from cofan.operators import als as ALSOPS  # noqa: E402
-from cofan.operators.cards import result_cards  # noqa: E402
-from cofan.session import checkpoint_dir  # noqa: E402
-from cofan.sources import csv as CSV  # noqa: E402
-from cofan.sources import files as FILES  # noqa: E402
-from cofan.sources import sinks as SINKS  # noqa: E402
-
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
