@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,15 @@ def check_inputs(spark: SparkSession, data_path: str, names=tuple(REQUIRED_COLUM
     """
     if not os.path.isdir(data_path) and "://" not in data_path:
         raise FileNotFoundError("Required input files are missing: " + ", ".join(os.path.join(data_path, n) for n in names))
-    b = spark.read.format("binaryFile").load(data_path)
-    listed = {os.path.basename(p): p for p in b.inputFiles()}
+    try:
+        b = spark.read.format("binaryFile").load(data_path)
+        listed = {os.path.basename(p): p for p in b.inputFiles()}
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error) or "Path does not exist" in str(error):
+            raise FileNotFoundError(
+                "Required input files are missing: " + ", ".join(os.path.join(data_path, n) for n in names)
+            ) from error
+        raise
     missing = [os.path.join(data_path, n) for n in names if n not in listed]
     if missing:
         raise FileNotFoundError("Required input files are missing: " + ", ".join(missing))

@@ -25,3 +25,11 @@ def test_failure_record_then_raise(spark, tmp_path):
         batch_run.run(spark, d, out, movie_title="zzz")
     r = batch_run.read_run_records(spark, out).collect()[0]
     assert r["status"] == "failed" and r["error"]["type"] == "ValueError"
+
+
+def test_missing_input_still_records_failure(spark, tmp_path):
+    out = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        batch_run.run(spark, str(tmp_path / "absent"), out)
+    r = batch_run.read_run_records(spark, out).collect()[0]
+    assert r["status"] == "failed" and r["error"]["type"] == "FileNotFoundError"
