@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofan.functions.formats import image_url
-from cofan.functions.titles import casefold, clean_title, text_or_empty, year_of_date
+from cofan.functions.formats import (
+    GENRES_UNAVAILABLE,
+    YEAR_UNAVAILABLE,
+    image_url,
+    or_default,
+    search_link,
+    thousands,
+)
+from cofan.functions.genres import genre_display
+from cofan.functions.titles import casefold, clean_title, display_title, release_year, text_or_empty, year_of_date
 
 # ---- fixed values -------------------------------------------------------------
 POPULAR_LABELS = ["Inception", "The Matrix", "Interstellar", "The Dark Knight", "Toy Story"]
@@ -35,6 +43,32 @@ def movie_rating_count(ratings: DataFrame, movie_id: int) -> DataFrame:
     )
 
 
+def movie_panel(movies: DataFrame, ratings: DataFrame, title: str) -> DataFrame:
+    """Detail fields of one selected title: display title, year (or a default),
+    formatted genres (or a default), rating count and search link.
+
+    The title lookup is bounded to one row, so the ratings are reduced by a semi
+    join against it (a one-row broadcast) before counting.
+    """
+    picked = title_lookup(movies, title)
+    counts = (
+        ratings.select("movieId")
+        .join(F.broadcast(picked.select("movieId")), "movieId", "left_semi")
+        .groupBy("movieId")
+        .agg(F.count(F.lit(1)).alias("rating_count"))
+    )
+    t = F.col("title")
+    return picked.join(counts, "movieId", "left").select(
+        "movieId",
+        display_title(t).alias("display_title"),
+        or_default(release_year(t), YEAR_UNAVAILABLE).alias("year_text"),
+        genre_display(or_default("genres", GENRES_UNAVAILABLE)).alias("genres_text"),
+        F.coalesce(F.col("rating_count"), F.lit(0)).alias("rating_count"),
+        F.concat(thousands(F.coalesce(F.col("rating_count"), F.lit(0))), F.lit(" ratings")).alias("rating_text"),
+        search_link(t).alias("search_link"),
+    )
+
+
 def resolve_labels(movies: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
     """Label -> first full title (in title order) whose clean title equals it, case-insensitively.
 

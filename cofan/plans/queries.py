@@ -473,6 +473,34 @@ def movie_rating_count(spark, sf_dir):
     return C.movie_rating_count(ratings, LOOKUP_ID)
 
 
+@register(
+    "selected_movie_panel",
+    O.with_views(
+        r"""
+SELECT p.movieId,
+       CASE WHEN yr IS NULL THEN clean ELSE clean || ' (' || yr || ')' END AS display_title,
+       coalesce(nullif(yr, ''), 'Year unavailable') AS year_text,
+       replace(coalesce(nullif(p.genres, ''), 'Genres unavailable'), '|', ' · ') AS genres_text,
+       coalesce(c.n, 0) AS rating_count,
+       format('{:,}', coalesce(c.n, 0)) || ' ratings' AS rating_text,
+       'https://www.themoviedb.org/search/movie?query=' || replace(url_encode(clean), '%20', '+') AS search_link
+FROM (
+  SELECT movieId, title, genres,
+         nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '') AS yr,
+         regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'),
+                        '^(.+), (The|A|An)$', ' ') AS clean
+  FROM movies WHERE title = '"""
+        + LOOKUP_TITLE
+        + r"""' ORDER BY movieId ASC NULLS FIRST LIMIT 1
+) p
+LEFT JOIN (SELECT movieId, count(*) AS n FROM ratings GROUP BY movieId) c ON c.movieId = p.movieId"""
+    ),
+)
+def selected_movie_panel(spark, sf_dir):
+    ratings, movies = testdata.load(spark, sf_dir)
+    return C.movie_panel(movies, ratings, LOOKUP_TITLE)
+
+
 LABELS = C.POPULAR_LABELS + ["Small Ring", "red widget", "BLUE BOLT", "Nothing Here"]
 
 

@@ -71,3 +71,20 @@ def test_cards(spark, ratings, movies):
     assert cards[0]["count_text"] == "2 similar-fan ratings"
     assert cards[1]["genres_text"] == "Action · Sci-Fi · Thriller"
     assert cards[2]["search_link"].endswith("query=The+Shawshank+Redemption")
+
+
+def test_movie_panel(spark, ratings):
+    from cofan.schemas import MOVIES_SCHEMA
+
+    movies = spark.createDataFrame(
+        [(1, "Toy Story (1995)", "Adventure|Animation"), (7, "Nothing", None), (8, "Matrix, The (1999)", "")],
+        MOVIES_SCHEMA,
+    )
+    p = C.movie_panel(movies, ratings, "Toy Story (1995)").collect()[0]
+    assert (p["display_title"], p["year_text"], p["genres_text"], p["rating_count"], p["rating_text"]) == (
+        "Toy Story (1995)", "1995", "Adventure · Animation", 3, "3 ratings")
+    q = C.movie_panel(movies, ratings, "Nothing").collect()[0]
+    assert (q["year_text"], q["genres_text"], q["rating_count"]) == ("Year unavailable", "Genres unavailable", 0)
+    r = C.movie_panel(movies, ratings, "Matrix, The (1999)").collect()[0]
+    assert (r["display_title"], r["genres_text"]) == ("The Matrix (1999)", "Genres unavailable")
+    assert C.movie_panel(movies, ratings, "absent").count() == 0

@@ -99,3 +99,11 @@ def test_persist_helpers(ratings, movies):
     r, m = persist_tables(ratings, movies)
     assert r.storageLevel.useDisk and r.count() == 12
     unpersist_tables(r, m)
+
+
+def test_bounded_read(spark, tmp_path, ratings):
+    d = write_fixture_csv(str(tmp_path / "snap"))
+    size = files.total_bytes(spark, d)
+    assert size == sum(os.path.getsize(os.path.join(d, f)) for f in ("ratings.csv", "movies.csv"))
+    assert files.bounded_read(spark, d, ratings, size, 3, ["userId"]).count() == 12
+    assert files.bounded_read(spark, d, ratings, size - 1, 3, ["userId", "movieId"]).count() == 3
