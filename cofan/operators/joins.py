@@ -21,6 +21,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def at_most(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (one job that stops after ``max_rows + 1``)."""
+    return df.limit(int(max_rows) + 1).count() <= max_rows
+
+
+def side(df: DataFrame, small: bool) -> DataFrame:
+    """``broadcast(df)`` for a side checked small (or a subset of one), else a
+    sort-merge hint so the planner cannot pick the other side for broadcast."""
+    return F.broadcast(df) if small else df.hint("shuffle_merge")
+
+
 def broadcast_or_shuffle(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when checked small, else a sort-merge hint on ``df``.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofan.functions.titles import normalise_query, search_title
-from cofan.operators.joins import broadcast_or_shuffle
+from cofan.operators import joins
 
 GRAM = 3
 EXACT, SUBSTRING = 1, 2
@@ -92,18 +92,21 @@ def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
     row count is checked to be small (``joins.broadcast_if_small``); otherwise
     the joins shuffle on their keys.
     """
-    s = broadcast_or_shuffle(
-        normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
-    )
+    s = normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
+    # One size check; both probe sides below are the seed table or a subset of
+    # it, so the decision holds for each.  (A hint does not pass through the
+    # anti join, and the planner under-estimates the exploded gram index, so
+    # each join gets its own explicit choice.)
+    small = joins.at_most(s, joins.BROADCAST_MAX_ROWS)
     exact = (
         movies.select("movieId", search_title(F.col("title")).alias("q"))
-        .join(s.select("query_id", "q"), "q")
+        .join(joins.side(s.select("query_id", "q"), small), "q")
         .select("query_id", "movieId", F.lit(EXACT).alias("tier"))
     )
     remaining = s.join(exact.select("query_id").distinct(), "query_id", "left_anti")
     sub = (
         title_grams(movies, gram)
-        .join(remaining, "gram")
+        .join(joins.side(remaining, small), "gram")
         .filter(F.col("lower_title").contains(F.col("q")))
         .select("query_id", "movieId")
         .distinct()

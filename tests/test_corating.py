@@ -177,7 +177,6 @@ def test_large_seed_table_uses_shuffle_join(spark, ratings, movies, monkeypatch)
     from cofan.operators import joins, matching
 
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 1)
-    monkeypatch.setattr(matching, "broadcast_or_shuffle", lambda df: joins.broadcast_or_shuffle(df, 1))
     seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "the"), ("c", "ji")], "query_id string, query string")
     got = sorted((r["query_id"], r["movieId"], r["tier"]) for r in matching.match_seeds(movies, seeds).collect())
     assert got == [("a", 1, 1), ("b", 318, 2), ("b", 2571, 2), ("c", 2, 2)]

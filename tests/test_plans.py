@@ -43,3 +43,16 @@ def test_batch_top_k_uses_group_limit(spark, ratings, movies):
     p = plan_text(corating.recommend_batch(ratings, movies, seeds, top_n=3))
     assert "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_gram_index_is_never_the_broadcast_side(spark, movies):
+    import re
+
+    from cofan.operators.matching import match_seeds
+
+    seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "the")], "query_id string, query string")
+    p = plan_text(match_seeds(movies, seeds))
+    inputs = re.findall(r"\) BroadcastExchange\s*\nInput \[\d+\]: \[([^\]]*)\]", p)
+    assert inputs, p
+    for cols in inputs:
+        assert "lower_title" not in cols
