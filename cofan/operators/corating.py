@@ -29,7 +29,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cofan.operators import joins
 from cofan.operators.matching import match_seed, match_seeds, seed_candidates
+from cofan.session import checkpoint_dir
 
 DEFAULT_MIN_RATING = 4.5
 DEFAULT_TOP_N = 10
@@ -121,14 +123,20 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
     ``matching.seed_status`` for a per-seed status).  Equal to running
     ``recommend_similar`` once per seed.
     """
-    sources = match_seeds(movies, seeds, query_col).select("query_id", "movieId")
+    # Source pairs are materialised once in the shared checkpoint folder: the
+    # matching sub-plan is not recomputed for the exclusion join, and the size
+    # check below reads the written pairs, not a planner estimate (which the
+    # exploded n-gram index makes too low).
+    checkpoint_dir(seeds.sparkSession)
+    sources = match_seeds(movies, seeds, query_col).select("query_id", "movieId").checkpoint(eager=True)
+    src = joins.side(sources, joins.at_most(sources, joins.BROADCAST_MAX_ROWS))
     liked = likes(ratings, min_rating)
-    fans = liked.join(sources, "movieId").select("query_id", "userId").distinct()
+    fans = liked.join(src, "movieId").select("query_id", "userId").distinct()
     counts = (
         liked.join(fans, "userId")
         .groupBy("query_id", "movieId")
         .agg(F.count(F.lit(1)).alias("fan_rating_count"))
-        .join(sources, ["query_id", "movieId"], "left_anti")
+        .join(src, ["query_id", "movieId"], "left_anti")
     )
     ranked = counts.join(movies.select("movieId", "title", "genres"), "movieId")
     w = Window.partitionBy("query_id").orderBy(*ranking_order())
