@@ -5,8 +5,8 @@ only when a seed has no exact hit, **substring** (lower-cased full title
 contains the seed literally, no wildcards).  All ids of the winning tier are
 sources.
 
-* One seed: two literal filters over ``movies`` and a global ``min(tier)``;
-  the one-row aggregate joins back by broadcast (its size is one row).
+* One seed: two literal filters over ``movies`` and a global ``min(tier)``
+  used as a scalar subquery (a one-row aggregate, no join).
 * Many seeds (a DataFrame): the exact tier is an equi-join on the search title;
   the substring tier is an equi-join on an n-gram key followed by the exact
   ``contains`` test, so no nested-loop or cartesian plan is needed however
@@ -50,8 +50,8 @@ def seed_candidates(movies: DataFrame, seed: str) -> DataFrame:
 def match_seed(movies: DataFrame, seed: str) -> DataFrame:
     """``(movieId, tier)`` of every source movie for one seed string."""
     cand = seed_candidates(movies, seed)
-    best = cand.agg(F.min("tier").alias("tier"))
-    return cand.join(F.broadcast(best), "tier").select("movieId", "tier")
+    # The winning tier is a one-row aggregate used as a scalar subquery.
+    return cand.filter(F.col("tier") == cand.agg(F.min("tier")).scalar()).select("movieId", "tier")
 
 
 def title_grams(movies: DataFrame, gram: int = GRAM) -> DataFrame:
