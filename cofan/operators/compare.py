@@ -11,11 +11,54 @@ from cofan.operators.aggregates import overview, rating_counts
 METRICS = ["rating_rows", "unique_users", "unique_movies_rated", "average_rating", "minimum_rating", "maximum_rating"]
 
 
-def first_rows(ratings: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows in a total key order (a file-order prefix is not defined for
-    split, parallel reads; the order makes the slice reproducible)."""
+# Largest number of rows the top-n plan may merge in its final single task
+# (input partitions x n); above it the ranged plan is used.
+FUNNEL_MAX_ROWS = 5_000_000
+_POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33, position below
+
+
+def first_rows(ratings: DataFrame, n: int, order: list[str] | None = None,
+               funnel_max_rows: int = FUNNEL_MAX_ROWS) -> DataFrame:
+    """The first ``n`` rows in a key order (a file-order prefix is not defined for
+    split, parallel reads; the order makes the slice reproducible).
+
+    ``orderBy(key).limit(n)`` keeps n rows per input partition and merges them
+    in one task: used while partitions x n stays under ``funnel_max_rows``.
+    Beyond that the ranged plan (``first_rows_ranged``) has no single-task merge.
+    """
     order = order or ["userId", "movieId", "timestamp", "rating"]
-    return ratings.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(int(n))
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    partitions = ratings.rdd.getNumPartitions()  # plan metadata only, no job
+    if partitions * int(n) <= funnel_max_rows:
+        return ratings.orderBy(*keys).limit(int(n))
+    return first_rows_ranged(ratings, n, keys)
+
+
+def first_rows_ranged(df: DataFrame, n: int, keys) -> DataFrame:
+    """Exact first ``n`` rows without funnelling candidates into one task.
+
+    Range-partition and sort by the key; a row's global position is the row
+    count of all earlier ranges (a window over one row per partition) plus its
+    position inside its own range.  Cost: one range shuffle of the input.
+    """
+    cols = df.columns
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    mid = F.monotonically_increasing_id()
+    idx = ranged.select(
+        *cols,
+        F.shiftright(mid, _POS_BITS).alias("_part"),
+        mid.bitwiseAND((1 << _POS_BITS) - 1).alias("_pos"),
+    )
+    sizes = idx.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range partition (bounded by the partition count): broadcast.
+    offsets = sizes.select(
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off")
+    )
+    return (
+        idx.join(F.broadcast(offsets), "_part")
+        .filter(F.col("_off") + F.col("_pos") < int(n))
+        .select(*cols)
+    )
 
 
 def _long(df: DataFrame, side: str) -> DataFrame:

@@ -87,3 +87,17 @@ def test_sample_vs_full(ratings, movies):
     assert got["top10_same_rank"][1] == 10.0
     full = {r["metric"]: r["sample_value"] for r in sample_vs_full(ratings, movies, 100).collect()}
     assert full["top10_same_rank"] == 5.0  # five movies: same five ranks
+
+
+def test_first_rows_ranged_equals_top_n(spark):
+    from cofan.operators.compare import first_rows
+
+    df = spark.range(5000).select(
+        (F.col("id") * 7919 % 613).alias("userId"), (F.col("id") % 97).alias("movieId"),
+        F.col("id").alias("timestamp"), F.lit(4.0).alias("rating"),
+    ).repartition(7)
+    order = ["userId", "movieId", "timestamp", "rating"]
+    small = sorted(tuple(r) for r in first_rows(df, 1234, order).collect())
+    ranged = sorted(tuple(r) for r in first_rows(df, 1234, order, funnel_max_rows=10).collect())
+    brute = sorted(tuple(r) for r in df.collect())[:1234]
+    assert small == brute and ranged == brute
