@@ -45,6 +45,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     and iterative ML algorithms use it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        # A folder the caller already registered with the SparkContext wins.
+        registered = spark.sparkContext.getCheckpointDir()
+        if registered:
+            return registered
     if not path:
         if not is_local(spark):
             raise RuntimeError(

@@ -33,3 +33,11 @@ def test_als_user_subset(spark, ratings):
     users = spark.createDataFrame([(1,), (3,)], "userId int")
     recs = ALSOPS.recommend_for_users(model, users, 2)
     assert sorted({r["userId"] for r in recs.collect()}) == [1, 3]
+
+
+def test_checkpoint_dir_reads_session_setting(spark):
+    from cofan.session import checkpoint_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_dir(spark) == configured
+    assert configured in spark.sparkContext.getCheckpointDir()
