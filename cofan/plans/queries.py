@@ -193,7 +193,7 @@ def popular_candidates(spark, sf_dir):
     "genre_summary",
     O.with_views(
         """
-SELECT count(*) AS result_rows, sum(fan_rating_count) AS total_signals,
+SELECT count(*) AS result_rows, CAST(sum(fan_rating_count) AS BIGINT) AS total_signals,
        (SELECT count(DISTINCT g) FROM (SELECT unnest(string_split(genres, '|')) AS g FROM r
         WHERE genres IS NOT NULL) WHERE g <> '(no genres listed)') AS genres_represented
 FROM r""",
@@ -313,7 +313,7 @@ def row_counts(spark, sf_dir):
 
 def _null_sql(table: str, cols: list[str]) -> str:
     parts = [
-        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count_if(\"{c}\" IS NULL) AS null_count FROM {table}"
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(count_if(\"{c}\" IS NULL) AS BIGINT) AS null_count FROM {table}"
         for c in cols
     ]
     return "\nUNION ALL ".join(parts)
@@ -334,10 +334,10 @@ def null_profile(spark, sf_dir):
     "key_uniqueness",
     O.with_views(
         """
-SELECT 'movies' AS table_name, sum(n) AS row_count,
-       count_if(movieId IS NOT NULL) AS distinct_keys,
-       count_if(movieId IS NOT NULL AND n > 1) AS duplicate_keys,
-       coalesce(sum(CASE WHEN movieId IS NULL THEN n END), 0) AS null_keys
+SELECT 'movies' AS table_name, CAST(sum(n) AS BIGINT) AS row_count,
+       CAST(count_if(movieId IS NOT NULL) AS BIGINT) AS distinct_keys,
+       CAST(count_if(movieId IS NOT NULL AND n > 1) AS BIGINT) AS duplicate_keys,
+       CAST(coalesce(sum(CASE WHEN movieId IS NULL THEN n END), 0) AS BIGINT) AS null_keys
 FROM (SELECT movieId, count(*) AS n FROM movies GROUP BY movieId)"""
     ),
 )
@@ -354,8 +354,8 @@ def _cast_sql(table: str, schema) -> str:
         v = f'CAST("{f.name}" AS VARCHAR)'
         parts.append(
             f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, '{t}' AS target_type, "
-            f"count_if({v} IS NOT NULL) AS non_null, "
-            f"count_if({v} IS NOT NULL AND TRY_CAST({v} AS {duck[t]}) IS NULL) AS failures FROM {table}"
+            f"CAST(count_if({v} IS NOT NULL) AS BIGINT) AS non_null, "
+            f"CAST(count_if({v} IS NOT NULL AND TRY_CAST({v} AS {duck[t]}) IS NULL) AS BIGINT) AS failures FROM {table}"
         )
     return "\nUNION ALL ".join(parts)
 
@@ -618,7 +618,8 @@ def _bucket_sql(word: int) -> str:
     "hash_split_counts",
     O.with_views(
         f"""
-SELECT count(*) AS sample_rows, count_if(inner_b < 80) AS train_rows, count_if(inner_b >= 80) AS test_rows
+SELECT count(*) AS sample_rows, CAST(count_if(inner_b < 80) AS BIGINT) AS train_rows,
+       CAST(count_if(inner_b >= 80) AS BIGINT) AS test_rows
 FROM (SELECT {_bucket_sql(0)} AS b, {_bucket_sql(1)} AS inner_b FROM ratings) WHERE b < 5"""
     ),
 )

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from cofan.sources.testdata import TABLES
-from tools_check import compare
+from tools_check import compare, type_diffs
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -39,3 +39,4 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.execute(E.oracle_sql()[name])
     msg = compare(rows, cols, rel.fetchall(), [d[0] for d in rel.description])
     assert msg is None, msg
+    assert not type_diffs(df.schema, rel.description)
