@@ -14,14 +14,17 @@ distinct).  The fan semi-join is the one wide shuffle of ``likes`` (by userId)
 unless the cohort is small enough for the planner to broadcast; a user holding
 a large share of all ratings makes one skewed partition on the likes side,
 which AQE's skew-join handling splits (semi joins split their left side; this
-needs both join inputs to be plain shuffles, see ``tests/test_skew.py``).  Counting happens before the titles join,
-so the dimension join sees one row per candidate movie, and the top-k is a
-``TakeOrderedAndProject`` (per-partition top-k, no global sort).
+needs both join inputs to be plain shuffles, see ``tests/test_skew.py``).
+Counting happens before the titles join, so the dimension join sees one row
+per candidate movie, and the top-k is a ``TakeOrderedAndProject``
+(per-partition top-k, no global sort).
 
 The batch form takes a seed table and keeps ``query_id`` through every step:
-``(query_id, userId)`` fans joined to likes on userId, counts per
-``(query_id, movieId)``, and a per-seed ``row_number`` window limited to top-k
-(planned with a partial group limit before the window's shuffle).
+source pairs checkpointed and size-checked, distinct ``(query_id, userId)``
+fans joined to likes on userId (an inner join, so the fans must be distinct),
+counts per ``(query_id, movieId)``, and a per-seed ``row_number`` window
+limited to top-k (planned with a partial group limit before the window's
+shuffle).
 """
 
 from __future__ import annotations

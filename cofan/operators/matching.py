@@ -10,11 +10,12 @@ sources.
 * Many seeds (a DataFrame): the exact tier is an equi-join on the search title;
   the substring tier is an equi-join on an n-gram key followed by the exact
   ``contains`` test, so no nested-loop or cartesian plan is needed however
-  large the seed table is.  Every title is indexed by all its distinct
-  substrings of length 1..``GRAM``; a seed probes with its first
-  ``min(GRAM, len)`` characters, which every title containing the seed must
-  contain.  Seeds and titles are both shuffled by gram, and a very common gram
-  is a skewed join key that AQE splits.
+  large the seed table is.  Every title is indexed by each of its substrings
+  of length 1..``GRAM``; a seed probes with its first ``min(GRAM, len)``
+  characters, which every title containing the seed must contain.  The seed
+  side is broadcast when a row count shows it is small; otherwise seeds and
+  titles are both shuffled by gram, and a very common gram is a skewed join
+  key that AQE splits.  Seeds with an exact hit never reach the gram join.
 """
 
 from __future__ import annotations
