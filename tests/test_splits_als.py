@@ -41,3 +41,18 @@ def test_checkpoint_dir_reads_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_dir(spark) == configured
     assert configured in spark.sparkContext.getCheckpointDir()
+
+
+def test_recommend_all_equals_mllib(spark, ratings):
+    model = ALSOPS.fit(ratings, maxIter=3)
+    ref = {}
+    for r in model.recommendForAllUsers(3).collect():
+        ref[r["userId"]] = [x["movieId"] for x in r["recommendations"]]
+    ours, blocked = {}, {}
+    for r in ALSOPS.recommend_all(model, 3).collect():
+        ours.setdefault(r["userId"], []).append((r["predicted_rating"], r["movieId"]))
+    for r in ALSOPS.recommend_all(model, 3, block_values=model.rank * 2).collect():
+        blocked.setdefault(r["userId"], []).append((r["predicted_rating"], r["movieId"]))
+    norm = lambda d: {u: [m for _, m in sorted(v, key=lambda t: (-t[0], t[1]))] for u, v in d.items()}
+    assert norm(ours) == ref
+    assert norm(blocked) == ref
