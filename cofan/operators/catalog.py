@@ -74,11 +74,11 @@ def resolve_labels(movies: DataFrame, labels: DataFrame, label_col: str = "label
 
     Labels without a match keep a NULL ``full_title``.
     """
+    lab = labels.select(F.col(label_col).alias("label"), casefold(F.col(label_col)).alias("k"))
     keyed = movies.select(casefold(clean_title(F.col("title"))).alias("k"), "title")
-    best = keyed.groupBy("k").agg(F.min("title").alias("full_title"))
-    return labels.select(F.col(label_col).alias("label"), casefold(F.col(label_col)).alias("k")).join(
-        best, "k", "left"
-    ).select("label", "full_title")
+    # Only titles whose key is some label's key are aggregated.
+    best = keyed.join(lab.select("k"), "k", "left_semi").groupBy("k").agg(F.min("title").alias("full_title"))
+    return lab.join(best, "k", "left").select("label", "full_title")
 
 
 # ---- best-match selection over search candidates --------------------------------
