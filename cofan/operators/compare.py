@@ -17,19 +17,46 @@ FUNNEL_MAX_ROWS = 5_000_000
 _POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33, position below
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    num = t.rstrip("kmgb")
+    return int(float(num) * _UNITS.get(t[len(num):] or "b", 1))
+
+
+def partition_bound(df: DataFrame) -> int:
+    """Upper estimate of ``df``'s partition count without executing its plan.
+
+    File splits of its inputs (sizes from a metadata-only ``binaryFile``
+    listing, one row per file) or the shuffle partition count, whichever is
+    larger.  ``df.rdd.getNumPartitions()`` is avoided on purpose: under AQE it
+    runs the plan's shuffle and broadcast stages.
+    """
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = df.inputFiles()
+    if not files:
+        return max(shuffle, spark.sparkContext.defaultParallelism)
+    split = max(1, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    sizes = spark.read.format("binaryFile").load(files).select("length")
+    splits = sizes.agg(F.sum(F.greatest(F.ceil(F.col("length") / split), F.lit(1)))).first()[0] or 0
+    return max(shuffle, int(splits))
+
+
 def first_rows(ratings: DataFrame, n: int, order: list[str] | None = None,
                funnel_max_rows: int = FUNNEL_MAX_ROWS) -> DataFrame:
     """The first ``n`` rows in a key order (a file-order prefix is not defined for
     split, parallel reads; the order makes the slice reproducible).
 
     ``orderBy(key).limit(n)`` keeps n rows per input partition and merges them
-    in one task: used while partitions x n stays under ``funnel_max_rows``.
+    in one task: used while ``partition_bound`` x n stays under ``funnel_max_rows``.
     Beyond that the ranged plan (``first_rows_ranged``) has no single-task merge.
     """
     order = order or ["userId", "movieId", "timestamp", "rating"]
     keys = [F.col(c).asc_nulls_first() for c in order]
-    partitions = ratings.rdd.getNumPartitions()  # plan metadata only, no job
-    if partitions * int(n) <= funnel_max_rows:
+    if partition_bound(ratings) * int(n) <= funnel_max_rows:
         return ratings.orderBy(*keys).limit(int(n))
     return first_rows_ranged(ratings, n, keys)
 
