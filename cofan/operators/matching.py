@@ -90,7 +90,7 @@ def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
     equi-join; the seeds it hit are removed from the probe side by an anti
     join (a seed-sized step); the substring tier then runs only for the
     remaining seeds.  The seed side is broadcast to the joins only when its
-    row count is checked to be small (``joins.broadcast_if_small``); otherwise
+    row count is checked to be small (``joins.at_most``); otherwise
     the joins shuffle on their keys.
     """
     s = normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))

@@ -180,3 +180,12 @@ def test_large_seed_table_uses_shuffle_join(spark, ratings, movies, monkeypatch)
     seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "the"), ("c", "ji")], "query_id string, query string")
     got = sorted((r["query_id"], r["movieId"], r["tier"]) for r in matching.match_seeds(movies, seeds).collect())
     assert got == [("a", 1, 1), ("b", 318, 2), ("b", 2571, 2), ("c", 2, 2)]
+
+
+def test_size_check_counts_bytes(spark):
+    from cofan.operators import joins
+
+    df = spark.createDataFrame([("a" * 1000, 1)] * 50, "q string, n long")
+    assert joins.at_most(df, 100, 1_000_000)
+    assert not joins.at_most(df, 100, 10_000)  # 50 x 1008 bytes
+    assert not joins.at_most(df, 10, 1_000_000)
