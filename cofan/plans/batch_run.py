@@ -13,6 +13,7 @@ from cofan.operators import aggregates as A
 from cofan.operators import corating
 from cofan.sources import csv as csv_source
 from cofan.sources import files, sinks
+from cofan.sources import parquet as parquet_source
 
 
 def _now() -> str:
@@ -42,8 +43,7 @@ def run(spark: SparkSession, data_path: str, output_path: str, movie_title: str
         zone = os.path.join(output_path, "processed")
         sinks.write_parquet(ratings_csv, os.path.join(zone, "ratings"))
         sinks.write_parquet(movies_csv, os.path.join(zone, "movies"))
-        ratings = spark.read.parquet(os.path.join(zone, "ratings"))
-        movies = spark.read.parquet(os.path.join(zone, "movies"))
+        ratings, movies = parquet_source.load(spark, zone)
 
         counts = {r["table_name"]: r["row_count"] for r in A.row_counts(ratings, movies).collect()}
         top_dir = sinks.write_csv(A.top_movies(ratings, movies, processed_top_n), os.path.join(output_path, "top_movies"))

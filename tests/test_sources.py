@@ -107,3 +107,18 @@ def test_bounded_read(spark, tmp_path, ratings):
     assert size == sum(os.path.getsize(os.path.join(d, f)) for f in ("ratings.csv", "movies.csv"))
     assert files.bounded_read(spark, d, ratings, size, 3, ["userId"]).count() == 12
     assert files.bounded_read(spark, d, ratings, size - 1, 3, ["userId", "movieId"]).count() == 3
+
+
+def test_parquet_contract_read(spark, tmp_path, ratings, movies):
+    from cofan.sources import parquet as P
+
+    d = str(tmp_path / "pq")
+    ratings.withColumn("extra", ratings.userId).select("extra", "rating", "movieId", "timestamp", "userId") \
+        .write.parquet(os.path.join(d, "ratings"))
+    movies.write.parquet(os.path.join(d, "movies"))
+    r, m = P.load(spark, d)
+    assert r.columns == ["userId", "movieId", "rating", "timestamp"] and r.count() == 12
+    assert m.columns == ["movieId", "title", "genres"]
+    movies.drop("genres").write.parquet(os.path.join(d, "bad"))
+    with pytest.raises(ValueError, match="genres"):
+        P.read_contract_parquet(spark, os.path.join(d, "bad"), P.MOVIES_SCHEMA)
