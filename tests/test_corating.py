@@ -189,3 +189,19 @@ def test_size_check_counts_bytes(spark):
     assert joins.at_most(df, 100, 1_000_000)
     assert not joins.at_most(df, 100, 10_000)  # 50 x 1008 bytes
     assert not joins.at_most(df, 10, 1_000_000)
+
+
+def test_batch_edge_inputs(spark, ratings, movies):
+    from cofan.schemas import MOVIES_SCHEMA
+
+    empty = spark.createDataFrame([], "query_id string, query string")
+    assert corating.recommend_batch(ratings, movies, empty).count() == 0
+    blanks = spark.createDataFrame([("a", "  "), ("b", None)], "query_id string, query string")
+    assert corating.recommend_batch(ratings, movies, blanks).count() == 0
+    with_nulls = movies.unionByName(spark.createDataFrame([(7, None, None), (8, "", "X")], MOVIES_SCHEMA))
+    seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "y")], "query_id string, query string")
+    got = {}
+    for r in corating.recommend_batch(ratings, with_nulls, seeds).collect():
+        got.setdefault(r["query_id"], []).append((r["movieId"], r["fan_rating_count"]))
+    assert got["a"] == rec(ratings, movies, "Toy Story")
+    assert got["b"] == rec(ratings, movies, "y")
