@@ -59,3 +59,75 @@ def test_recommendations_equal_brute_force(spark, tables, top_n, min_rating):
         assert [(x["movieId"], x["fan_rating_count"]) for x in single.collect()] == brute(
             ratings, movies, seed, top_n, min_rating
         ), seed
+
+
+def brute_best(cands, query, year):
+    """Attempt by attempt: tiers 1..3 in list order; else the first candidate overall."""
+
+    def year_of(d):
+        d = d or ""
+        return d[:4] if len(d) >= 4 else None
+
+    def pick(results, fallback):
+        usable = [c for c in results if c["poster_path"]]
+        if not usable:
+            return None
+        qf = query.lower()
+        titled = lambda c: qf in {(c["title"] or "").lower(), (c["original_title"] or "").lower()}
+        for c in usable:
+            if titled(c) and year_of(c["release_date"]) == year:
+                return c
+        for c in usable:
+            if titled(c):
+                return c
+        if year:
+            for c in usable:
+                if year_of(c["release_date"]) == year:
+                    return c
+        return usable[0] if fallback else None
+
+    attempts = [1, 2] if year else [1]
+    everything = []
+    for a in attempts:
+        results = sorted((c for c in cands if c["attempt"] == a), key=lambda c: c["position"])
+        everything += results
+        hit = pick(results, False)
+        if hit:
+            return hit
+    return pick(everything, True)
+
+
+cand_rows = st.lists(
+    st.fixed_dictionaries(
+        {
+            "attempt": st.sampled_from([1, 2]),
+            "title": st.sampled_from(["Heat", "HEAT", "Other", None, ""]),
+            "original_title": st.sampled_from(["heat", "Else", None]),
+            "release_date": st.sampled_from(["1995-12-15", "1986-01-01", "1995", "19", "", None]),
+            "poster_path": st.sampled_from(["/a", "/b", "", None]),
+        }
+    ),
+    min_size=0,
+    max_size=8,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=cand_rows, year=st.sampled_from([None, "1995", "1986"]))
+def test_best_match_equals_brute_force(spark, rows, year):
+    from cofan.operators.catalog import best_matches
+    from cofan.schemas import CANDIDATES_SCHEMA
+
+    cands = [dict(r, position=i) for i, r in enumerate(rows) if year or r["attempt"] == 1]
+    df = spark.createDataFrame(
+        [("heat", year, c["attempt"], c["position"], c["title"], c["original_title"], c["release_date"],
+          c["poster_path"]) for c in cands],
+        CANDIDATES_SCHEMA,
+    )
+    got = best_matches(df).collect()
+    expected = brute_best(cands, "heat", year)
+    if expected is None:
+        assert got == []
+    else:
+        assert len(got) == 1
+        assert (got[0]["attempt"], got[0]["position"]) == (expected["attempt"], expected["position"])
