@@ -131,3 +131,48 @@ def test_best_match_equals_brute_force(spark, rows, year):
     else:
         assert len(got) == 1
         assert (got[0]["attempt"], got[0]["position"]) == (expected["attempt"], expected["position"])
+
+
+agg_rows = st.lists(
+    st.tuples(st.integers(1, 6), st.integers(1, 7), st.sampled_from(HALF_STEPS + [None])), min_size=1, max_size=40
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw=agg_rows, n_movies=st.integers(1, 7))
+def test_aggregate_reports_equal_brute_force(spark, raw, n_movies):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from cofan.operators import aggregates as A
+
+    ratings = [(u, m, r, i) for i, (u, m, r) in enumerate(raw)]
+    movies = [(i, f"T{(i * 5) % 3} ({1990 + i})", "G") for i in range(1, n_movies + 1)]
+    r_df = spark.createDataFrame(ratings, RATINGS_SCHEMA)
+    m_df = spark.createDataFrame(movies, MOVIES_SCHEMA)
+    title = {m: t for m, t, _ in movies}
+
+    counts = Counter(m for _, m, _, _ in ratings)
+    vals = {}
+    for _, m, r, _ in ratings:
+        if r is not None:
+            vals.setdefault(m, []).append(r)
+    mean = {m: float(Decimal(repr(sum(v) / len(v))).quantize(Decimal("0.001"), ROUND_HALF_UP)) for m, v in vals.items()}
+    top = sorted(
+        ((m, c, mean.get(m)) for m, c in counts.items() if m in title),
+        key=lambda x: (-x[1], -(x[2] if x[2] is not None else float("-inf")), title[x[0]], x[0]),
+    )[:5]
+    got = [(x["movieId"], x["rating_count"], x["average_rating"]) for x in A.top_movies(r_df, m_df, 5).collect()]
+    assert got == top
+
+    most = sorted(((m, c) for m, c in counts.items() if m in title), key=lambda x: (-x[1], title[x[0]], x[0]))[:3]
+    assert [(x["movieId"], x["rating_count"]) for x in A.most_rated(r_df, m_df, 3).collect()] == most
+
+    o = A.overview(r_df).collect()[0]
+    rs = [r for _, _, r, _ in ratings if r is not None]
+    assert (o["rating_rows"], o["unique_users"], o["unique_movies_rated"]) == (
+        len(ratings), len({u for u, _, _, _ in ratings}), len(counts))
+    assert (o["minimum_rating"], o["maximum_rating"]) == ((min(rs), max(rs)) if rs else (None, None))
+    assert (o["average_rating"] is None and not rs) or abs(o["average_rating"] - sum(rs) / len(rs)) < 1e-12
+
+    dist = sorted(Counter(r for _, _, r, _ in ratings).items(), key=lambda x: (x[0] is not None, x[0] or 0))
+    assert [(x["rating"], x["rating_count"]) for x in A.rating_distribution(r_df).collect()] == dist
