@@ -48,15 +48,19 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus), app_name="cofan-bench")
     times: dict[str, float] = {}
     t_start = time.time()
+    failed: dict[str, str] = {}
     for name in names:
         fn = REGISTRY[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        runs = []
-        for _ in range(reps):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 4)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            runs = []
+            for _ in range(reps):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 4)
+        except Exception as error:  # noqa: BLE001 - report, keep measuring the rest
+            failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
 
     ratings, _ = testdata.load(spark, sf_dir)
     n_ratings = ratings.count()
@@ -93,6 +97,8 @@ def main() -> None:
         "group_mean_marginal_rows_per_sec": marginal,
         "wall_sec": round(time.time() - t_start, 2),
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 
