@@ -57,11 +57,29 @@ def fan_cohort(ratings: DataFrame, sources: DataFrame, min_rating: float = DEFAU
     return likes(ratings, min_rating).join(sources.select("movieId"), "movieId", "left_semi").select("userId").distinct()
 
 
+def salted_semi_join(left: DataFrame, keys: DataFrame, key: str, salt_buckets: int, salt_from: str) -> DataFrame:
+    """``left ⋉ keys`` on ``key`` with the join key salted into ``salt_buckets``.
+
+    Each left row takes a salt from a hash of ``salt_from`` (deterministic, so a
+    recomputed task makes the same choice) and the key side is replicated once
+    per salt.  A hot key's left rows then spread over ``salt_buckets`` join
+    partitions whatever the AQE setting; the result equals the plain semi join
+    because the test is existence only.
+    """
+    salt = F.pmod(F.xxhash64(F.col(salt_from)), F.lit(int(salt_buckets))).cast("int")
+    salted_left = left.withColumn("_salt", salt)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(int(salt_buckets) - 1))).alias("_salt")
+    salted_keys = keys.select(key).distinct().select(key, salts)
+    return salted_left.join(salted_keys, [key, "_salt"], "left_semi").drop("_salt")
+
+
 def corated_counts(ratings: DataFrame, sources: DataFrame, min_rating: float = DEFAULT_MIN_RATING,
-                   exclude_sources: bool = True) -> DataFrame:
+                   exclude_sources: bool = True, salt_buckets: int | None = None) -> DataFrame:
     """``(movieId, fan_rating_count)``: liked-rating rows by fans of the sources.
 
     Counts rating rows, not users (a fan who rated a movie twice counts twice).
+    ``salt_buckets`` salts the fan semi join explicitly (for clusters without
+    AQE's skew split); by default AQE splits a hot user's partition.
     """
     src = sources.select("movieId")
     liked = likes(ratings, min_rating)
@@ -70,7 +88,11 @@ def corated_counts(ratings: DataFrame, sources: DataFrame, min_rating: float = D
     # eligible for AQE's skew split (a hot user's likes are divided across
     # tasks); a distinct there would feed the join from an aggregate instead.
     fans = liked.join(src, "movieId", "left_semi").select("userId")
-    counts = liked.join(fans, "userId", "left_semi").groupBy("movieId").agg(
+    if salt_buckets and salt_buckets > 1:
+        fan_likes = salted_semi_join(liked, fans, "userId", salt_buckets, "movieId")
+    else:
+        fan_likes = liked.join(fans, "userId", "left_semi")
+    counts = fan_likes.groupBy("movieId").agg(
         F.count(F.lit(1)).alias("fan_rating_count")
     )
     if exclude_sources:
@@ -88,7 +110,8 @@ def top_k(df: DataFrame, top_n: int, count_col: str = "fan_rating_count") -> Dat
 
 
 def recommend_similar(ratings: DataFrame, movies: DataFrame, seed: str, top_n: int = DEFAULT_TOP_N,
-                      min_rating: float = DEFAULT_MIN_RATING, check: bool = True) -> DataFrame:
+                      min_rating: float = DEFAULT_MIN_RATING, check: bool = True,
+                      salt_buckets: int | None = None) -> DataFrame:
     """Top-``top_n`` movies liked by users who liked the movie(s) matching ``seed``.
 
     Raises ``ValueError`` for a blank seed, and (when ``check``) when no title
@@ -101,7 +124,7 @@ def recommend_similar(ratings: DataFrame, movies: DataFrame, seed: str, top_n: i
     if check and seed_candidates(movies, seed).isEmpty():
         raise ValueError(f"No movie found for title: {seed}")
     sources = match_seed(movies, seed)
-    return top_k(with_titles(corated_counts(ratings, sources, min_rating), movies), top_n)
+    return top_k(with_titles(corated_counts(ratings, sources, min_rating, salt_buckets=salt_buckets), movies), top_n)
 
 
 def recommend_for_ids(ratings: DataFrame, movies: DataFrame, source_ids: DataFrame,

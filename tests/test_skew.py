@@ -92,3 +92,19 @@ def test_hot_user_batch_join_is_split(spark, movies):
         got.setdefault(r["query_id"], {})[r["movieId"]] = r["fan_rating_count"]
     assert got == {"a": _brute({1}), "b": _brute({2})}
     assert "SortMergeJoin(skew=true) [userId" in plan
+
+
+def test_salted_fan_join_equals_plain_without_aqe(spark, movies):
+    ratings = _hot_user_ratings(spark)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = corating.recommend_similar(ratings, movies, "Toy Story", check=False, salt_buckets=8)
+        got = {r["movieId"]: r["fan_rating_count"] for r in df.collect()}
+        plan = _final_plan(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == _brute({1})
+    assert "_salt" in plan and "LeftSemi" in plan
