@@ -141,7 +141,8 @@ def ids_frame(spark, ids, dtype: str = "bigint") -> DataFrame:
 
 
 def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top_n: int = DEFAULT_TOP_N,
-                    min_rating: float = DEFAULT_MIN_RATING, query_col: str = "query") -> DataFrame:
+                    min_rating: float = DEFAULT_MIN_RATING, query_col: str = "query",
+                    salt_buckets: int | None = None) -> DataFrame:
     """Top-``top_n`` per seed for a seed table ``(query_id, <query_col>)``.
 
     Output ``(query_id, rank, movieId, title, genres, fan_rating_count)``;
@@ -158,8 +159,18 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
     src = joins.side(sources, joins.at_most(sources, joins.BROADCAST_MAX_ROWS))
     liked = likes(ratings, min_rating)
     fans = liked.join(src, "movieId").select("query_id", "userId").distinct()
+    if salt_buckets and salt_buckets > 1:
+        # Explicit salting (clusters without AQE): each like row takes one
+        # deterministic salt and meets exactly one replica of each fan row.
+        n = int(salt_buckets)
+        pairs = liked.withColumn("_salt", F.pmod(F.xxhash64("movieId"), F.lit(n)).cast("int")).join(
+            fans.select("query_id", "userId", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")),
+            ["userId", "_salt"],
+        )
+    else:
+        pairs = liked.join(fans, "userId")
     counts = (
-        liked.join(fans, "userId")
+        pairs
         .groupBy("query_id", "movieId")
         .agg(F.count(F.lit(1)).alias("fan_rating_count"))
         .join(src, ["query_id", "movieId"], "left_anti")

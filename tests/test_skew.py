@@ -108,3 +108,12 @@ def test_salted_fan_join_equals_plain_without_aqe(spark, movies):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == _brute({1})
     assert "_salt" in plan and "LeftSemi" in plan
+
+
+def test_salted_batch_join_equals_plain(spark, movies):
+    ratings = _hot_user_ratings(spark)
+    seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "Jumanji")], "query_id string, query string")
+    got = {}
+    for r in corating.recommend_batch(ratings, movies, seeds, top_n=10, salt_buckets=8).collect():
+        got.setdefault(r["query_id"], {})[r["movieId"]] = r["fan_rating_count"]
+    assert got == {"a": _brute({1}), "b": _brute({2})}
