@@ -4,8 +4,9 @@ A word's bag holds its hashed character n-grams (3 to 5, with word ends) and the
 word itself; the mean of their embeddings goes through a linear softmax of two
 classes.  A text's score is that of its most toxic word, so that one insult in a
 long text is not averaged away, and an unseen misspelling shares n-gram vectors.
-Embeddings and softmax are trained jointly in numpy (Adam): first with the text
-toxic if any of its words is (noisy or), then on the worst word of each text.
+Embeddings and softmax are trained jointly in numpy (Adam), a text being toxic if
+any of its words is (noisy or); clean texts teach all their words, toxic ones are
+blamed on words of several training texts.
 
 Training takes about ``SAMPLE_ROWS`` labelled rows per class, by a hash of the
 id (a documented bound), whole texts each; only their distinct words reach the
@@ -32,6 +33,8 @@ from cofan.llm.common import in_slices, texts
 
 BUCKETS, DIM = 1 << 17, 8
 SAMPLE_ROWS = 1200
+#: A toxic text is blamed on words of so many training texts: a share of the toxic ones, 2 at least.
+BLAME_SHARE = 0.015
 WORD = regex.compile(r"[\p{L}\p{M}']+")
 MAX_WORDS = 400_000  # words remembered per Python worker; beyond it the memory starts anew
 
@@ -82,7 +85,7 @@ class Model:
         return 1 / (1 + np.exp(-np.maximum(worst, -700.0))) * (worst > -np.inf)
 
 
-def train(docs: list[list[str]], toxic: list[int], seed: int = 11, steps: tuple[int, int] = (60, 60)) -> Model:
+def train(docs: list[list[str]], toxic: list[int], seed: int = 11, steps: int = 120) -> Model:
     """Train on distinct words per text and 0/1 labels."""
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.05, (BUCKETS, DIM)).astype(np.float32)
@@ -94,24 +97,22 @@ def train(docs: list[list[str]], toxic: list[int], seed: int = 11, steps: tuple[
     index: dict[str, int] = {}
     at = np.array([index.setdefault(x, len(index)) for d in docs for x in d], np.int64)
     doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    often = np.bincount(at, minlength=len(index)) >= max(2, BLAME_SHARE * y.sum())
+    keep = ~y[doc] | often[at]
+    at, doc = at[keep], doc[keep]
     who, where = bags(list(index))
     used, where = np.unique(where, return_inverse=True)
     per = np.bincount(who, minlength=len(index)).astype(np.float64)
     weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()) * len(y)
     slots = [e[used], w, b]
     m, v = [np.zeros_like(s) for s in slots], [np.zeros_like(s) for s in slots]
-    for step in range(1, sum(steps) + 1):
+    for step in range(1, steps + 1):
         ee, ww, bb = slots
         u = ww[:, 1] - ww[:, 0]
         z = np.bincount(who, (ee @ u)[where], len(index)) / per + (bb[1] - bb[0])
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))[at]
-        if step <= steps[0]:
-            clean = np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(docs)))
-            g = p * np.where(y, -clean / np.maximum(1 - clean, 1e-9), 1.0)[doc] * weight[doc]
-        else:
-            top = np.zeros(len(docs))
-            np.maximum.at(top, doc, p)
-            g = np.where(p == top[doc], np.where(y[doc], p - 1, p), 0) * weight[doc]
+        clean = np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(docs)))
+        g = p * np.where(y, -clean / np.maximum(1 - clean, 1e-9), 1.0)[doc] * weight[doc]
         gz = np.bincount(at, g, len(index)) / len(docs)
         gs = np.bincount(where, (gz / per)[who], len(used))
         gu = (gs @ ee).astype(np.float32)
