@@ -1,0 +1,119 @@
+"""Vector and page operators, and the pipeline, against brute force."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from cofan.llm import topk, url_filter, warc
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_topk(rows, k, asked):
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, v in good:
+        if asked(q):
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+def got_topk(df, k, condition):
+    return sorted(tuple(r) for r in topk.search(df, condition, k).select("query_id", "rank", "vec_id", "score").collect())
+
+
+def test_topk_equals_brute_force_over_many_cells(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=12) * (1 + (i % 5 == 0))]) for i in range(1500)]
+    rows += [(2000 + i, rows[7][1]) for i in range(20)]  # ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    for name, value in (("CELL", 700), ("BLOCK", 3), ("START", 16), ("GROW", 2)):
+        monkeypatch.setattr(topk, name, value)
+    assert got_topk(df, 10, F.col("id") % 100 == 0) == brute_topk(rows, 10, lambda q: q % 100 == 0)
+
+
+def test_topk_edges(spark):
+    rows = [(0, [1.0, 0.5]), (1, None), (2, []), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 0.0]), (6, [0.5, 0.5]), (7, [0.5, 0.5]), (8, [-1.0]), (None, [1.0, 1.0])]
+    df = spark.createDataFrame([(*r, "c", 1) for r in rows], "vec_id long, embedding array<float>, v string, cell int")
+    assert got_topk(df, 10, F.col("id") % 100 == 0) == brute_topk(rows, 10, lambda q: q % 100 == 0)
+    assert got_topk(df.limit(0), 10, F.col("id") % 100 == 0) == []
+
+
+def test_url_rules_and_parts(spark):
+    rows = [
+        (1, "http://a.Example.COM/en/x?q#f", "a.example.com", "/en/x", "example.com/en/", "block"),
+        (2, "https://www.example.com/en/", "www.example.com", "/en/", "www.example.com/en/", "allow"),
+        (3, "x://y.net/fr/1", "y.net", "/fr/1", "net/fr/", "block"), (4, "http://b.com?x=/en/", "b.com", "", None, None),
+        (5, None, "", "", None, None), (6, "no scheme", "", "", None, None), (7, "http://notexample.com/en/", "notexample.com", "/en/", "com/", "allow"),
+        (8, "a://b://c.net/es/", "b:", "//c.net/es/", None, None), (8, "a://b://c.net/es/", "b:", "//c.net/es/", None, None),
+    ]
+    df = spark.createDataFrame([(r[0], r[1], "h", "s") for r in rows], "page_id long, url string, host string, said string")
+    got = sorted(url_filter.judge(df).collect(), key=lambda r: r.page_id)
+    for r, want in zip(got, rows):
+        assert (r.host, r.path, r.rule) == want[2:5] and r.verdict in ("allow", "block") and want[5] in (None, r.verdict)
+    assert url_filter.judge(df.limit(0)).count() == 0
+
+
+def test_url_trees_fit_their_labels(spark):
+    """Labels that one feature decides are learnt."""
+    rows = [(k, f"http://h{k % 7}.{'net/es' if k % 2 else 'com'}/{'1' * (20 if k % 2 else 0)}a") for k in range(200)]
+    out = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"))
+    assert out.filter("(p_block >= 0.5) = (verdict = 'block')").count() == 200
+
+
+def test_warc_round_trip(spark):
+    big = "<p>é\r\n\r\nWARC/1.1\r\n</p>" * 100
+    rows = [(k, f"http://x/{k}", h) for k, h in enumerate([None, "", "a\r\n\r\nb", big, big, "same", "same", "x" * 1000, "x" * 1000, big + "!"])]
+    rows += [(20, None, "line\nbreak"), (21, "http://y/\r\nX-Bad: 1", "v")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, block string").repartition(3)
+    last = {}
+    for i, _, h in rows:
+        b = (h or "").encode()
+        last[b] = max(i, last.get(b, i))
+    want = []
+    for i, _, h in rows:
+        b = (h or "").encode()
+        to = last[b] if len(b) >= 1000 and last[b] != i else None
+        want.append((i, len(b), hashlib.sha1(b).hexdigest(), "response" if to is None else "revisit", to))
+    got = warc.round_trip(df).collect()
+    assert sorted(tuple(r)[:5] for r in got) == want
+    assert all(r.digest_ok for r in got if r.record_type == "response")
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_warc_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "u", "a"), (1, "u", "b"), (1, "u", "b")], "page_id long, url string, html string")
+    assert sorted(str(r.page_id) for r in warc.round_trip(df).collect()) == ["1", "1", "None"]
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    start = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == start.columns, name
+        docs = out.select("*")
+    assert {r.doc_id for r in docs.select("doc_id").collect()} <= {r.doc_id for r in start.select("doc_id").collect()}
+
+
+def test_every_operator_is_registered():
+    names = __spark_entry__.queries()
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+
+
+@pytest.mark.parametrize("name", ["op1_exact_topk", "op6_exact_dedup"])
+def test_oracle(spark, name):
+    import duckdb
+
+    db = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = __spark_entry__.queries()[name](spark, SF)
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
