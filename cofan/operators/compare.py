@@ -11,81 +11,37 @@ from cofan.operators.aggregates import overview, rating_counts
 METRICS = ["rating_rows", "unique_users", "unique_movies_rated", "average_rating", "minimum_rating", "maximum_rating"]
 
 
-# Largest number of rows the top-n plan may merge in its final single task
-# (input partitions x n); above it the ranged plan is used.
-FUNNEL_MAX_ROWS = 5_000_000
-_POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33, position below
+# Equal-width buckets of the leading key; their counts reach the driver.
+BUCKETS = 1024
 
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower()
-    num = t.rstrip("kmgb")
-    return int(float(num) * _UNITS.get(t[len(num):] or "b", 1))
-
-
-def partition_bound(df: DataFrame) -> int:
-    """Upper estimate of ``df``'s partition count without executing its plan.
-
-    File splits of its inputs (sizes from a metadata-only ``binaryFile``
-    listing, one row per file) or the shuffle partition count, whichever is
-    larger.  ``df.rdd.getNumPartitions()`` is avoided on purpose: under AQE it
-    runs the plan's shuffle and broadcast stages.
-    """
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = df.inputFiles()
-    if not files:
-        return max(shuffle, spark.sparkContext.defaultParallelism)
-    split = max(1, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    sizes = spark.read.format("binaryFile").load(files).select("length")
-    splits = sizes.agg(F.sum(F.greatest(F.ceil(F.col("length") / split), F.lit(1)))).first()[0] or 0
-    return max(shuffle, int(splits))
-
-
-def first_rows(ratings: DataFrame, n: int, order: list[str] | None = None,
-               funnel_max_rows: int = FUNNEL_MAX_ROWS) -> DataFrame:
+def first_rows(ratings: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
     """The first ``n`` rows in a key order (a file-order prefix is not defined for
     split, parallel reads; the order makes the slice reproducible).
 
-    ``orderBy(key).limit(n)`` keeps n rows per input partition and merges them
-    in one task: used while ``partition_bound`` x n stays under ``funnel_max_rows``.
-    Beyond that the ranged plan (``first_rows_ranged``) has no single-task merge.
+    One plan for every size: the numeric leading key is cut into equal-width
+    buckets (NULLs first), the bucket that holds row ``n`` is found from the
+    bucket counts, all lower buckets are kept by a filter, and only that bucket
+    is ordered.  Rows are never matched by partition numbers.
     """
     order = order or ["userId", "movieId", "timestamp", "rating"]
     keys = [F.col(c).asc_nulls_first() for c in order]
-    if partition_bound(ratings) * int(n) <= funnel_max_rows:
-        return ratings.orderBy(*keys).limit(int(n))
-    return first_rows_ranged(ratings, n, keys)
-
-
-def first_rows_ranged(df: DataFrame, n: int, keys) -> DataFrame:
-    """Exact first ``n`` rows without funnelling candidates into one task.
-
-    Range-partition and sort by the key; a row's global position is the row
-    count of all earlier ranges (a window over one row per partition) plus its
-    position inside its own range.  Cost: one range shuffle of the input.
-    """
-    cols = df.columns
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    mid = F.monotonically_increasing_id()
-    idx = ranged.select(
-        *cols,
-        F.shiftright(mid, _POS_BITS).alias("_part"),
-        mid.bitwiseAND((1 << _POS_BITS) - 1).alias("_pos"),
-    )
-    sizes = idx.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range partition (bounded by the partition count): broadcast.
-    offsets = sizes.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off")
-    )
-    return (
-        idx.join(F.broadcast(offsets), "_part")
-        .filter(F.col("_off") + F.col("_pos") < int(n))
-        .select(*cols)
-    )
+    lead = F.col(order[0]).cast("double")
+    span = ratings.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi")).first()
+    lo, hi = span["lo"], span["hi"]
+    if lo is None or hi == lo:
+        bucket = F.lit(0)
+    else:
+        bucket = F.least(F.floor((lead - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    place = F.when(lead.isNull(), F.lit(-1)).otherwise(bucket)
+    left, cut = int(n), BUCKETS
+    for row in ratings.groupBy(place.alias("b")).count().orderBy("b").collect():
+        if row["count"] > left:
+            cut = row["b"]
+            break
+        left -= row["count"]
+    inside = ratings.filter(place == cut).orderBy(*keys).limit(left)
+    return ratings.filter(place < cut).unionByName(inside)
 
 
 def _long(df: DataFrame, side: str) -> DataFrame:

@@ -77,17 +77,3 @@ def validate_headers(spark: SparkSession, data_path: str) -> dict:
 def total_bytes(spark: SparkSession, path: str) -> int:
     """Total byte size of the files under ``path`` (from the listing, one aggregate row)."""
     return int(listing(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
-
-
-def bounded_read(spark: SparkSession, path: str, df: DataFrame, max_bytes: int, n: int,
-                 order: list[str]) -> DataFrame:
-    """``df`` whole when the files under ``path`` total at most ``max_bytes``, else its
-    first ``n`` rows in ``order`` (a reproducible bounded slice)."""
-    return bounded_scan(df, total_bytes(spark, path), max_bytes, n, order)
-
-
-def bounded_scan(df: DataFrame, total_bytes: int, max_bytes: int, n: int, order: list[str]) -> DataFrame:
-    """All rows when the input is at most ``max_bytes``, else the first ``n`` in ``order``."""
-    if total_bytes <= max_bytes:
-        return df
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(int(n))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cofan.operators import aggregates as A
@@ -89,15 +90,23 @@ def test_sample_vs_full(ratings, movies):
     assert full["top10_same_rank"] == 5.0  # five movies: same five ranks
 
 
-def test_first_rows_ranged_equals_top_n(spark):
+@pytest.mark.parametrize("n", [0, 1, 1234, 4999, 5000, 9000])
+def test_first_rows_equal_brute_force(spark, n):
+    """With a column outside the key, no exchange reuse and no coalescing."""
     from cofan.operators.compare import first_rows
 
+    settings = {"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, "true") for k in settings}
     df = spark.range(5000).select(
-        (F.col("id") * 7919 % 613).alias("userId"), (F.col("id") % 97).alias("movieId"),
-        F.col("id").alias("timestamp"), F.lit(4.0).alias("rating"),
+        F.when(F.col("id") % 50 != 0, F.col("id") * 7919 % 613).alias("userId"), (F.col("id") % 97).alias("movieId"),
+        F.col("id").alias("timestamp"), F.lit(4.0).alias("rating"), F.col("id").cast("string").alias("extra"),
     ).repartition(7)
-    order = ["userId", "movieId", "timestamp", "rating"]
-    small = sorted(tuple(r) for r in first_rows(df, 1234, order).collect())
-    ranged = sorted(tuple(r) for r in first_rows(df, 1234, order, funnel_max_rows=10).collect())
-    brute = sorted(tuple(r) for r in df.collect())[:1234]
-    assert small == brute and ranged == brute
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = [tuple(r) for r in first_rows(df, n).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    low = lambda r: (r[0] is not None, r[0] or 0, *r[1:4])
+    assert sorted(got, key=low) == sorted((tuple(r) for r in df.collect()), key=low)[:n]

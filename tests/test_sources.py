@@ -77,11 +77,6 @@ def test_fingerprint(spark, tmp_path):
                   "movies.csv": os.path.getsize(os.path.join(d, "movies.csv"))}
 
 
-def test_bounded_scan(ratings):
-    assert files.bounded_scan(ratings, 10, 100, 3, ["userId"]).count() == 12
-    assert files.bounded_scan(ratings, 1000, 100, 3, ["userId", "movieId"]).count() == 3
-
-
 def test_bom_header_and_inferred_read(spark, tmp_path):
     d = tmp_path / "bom"
     d.mkdir()
@@ -101,12 +96,10 @@ def test_persist_helpers(ratings, movies):
     unpersist_tables(r, m)
 
 
-def test_bounded_read(spark, tmp_path, ratings):
+def test_total_bytes(spark, tmp_path):
     d = write_fixture_csv(str(tmp_path / "snap"))
     size = files.total_bytes(spark, d)
     assert size == sum(os.path.getsize(os.path.join(d, f)) for f in ("ratings.csv", "movies.csv"))
-    assert files.bounded_read(spark, d, ratings, size, 3, ["userId"]).count() == 12
-    assert files.bounded_read(spark, d, ratings, size - 1, 3, ["userId", "movieId"]).count() == 3
 
 
 def test_parquet_contract_read(spark, tmp_path, ratings, movies):
