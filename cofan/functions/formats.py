@@ -45,11 +45,17 @@ def image_url(poster_path, base: str = POSTER_BASE_URL) -> Column:
 def utc_iso_now() -> Column:
     """Current instant as ISO-8601 text with a ``+00:00`` offset, whatever the session zone."""
     return F.date_format(
-        F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")),
+        utc_wall(F.unix_micros(F.current_timestamp())),
         "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'",
     )
 
 
+def utc_wall(micros) -> Column:
+    """Microseconds since the epoch -> UTC wall time without a zone; no hour is lost
+    or repeated, as the session zone takes no part."""
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def epoch_to_utc(seconds) -> Column:
     """Unix seconds -> timestamp (an instant)."""
     c = F.col(seconds) if isinstance(seconds, str) else seconds

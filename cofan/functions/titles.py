@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 # ---- fixed values (must equal the source behaviour) -------------------------
 # Year suffix removed for title search: optional spaces, "(dddd)" at the end.
-SEARCH_YEAR_SUFFIX = r"\s*\(\d{4}\)$"
+SEARCH_YEAR_SUFFIX = r"(?U)\s*\([0-9]{4}\)$"
 # Release year: the last "(dddd)", trailing whitespace allowed after it.
-RELEASE_YEAR_PATTERN = r"\((\d{4})\)\s*$"
+RELEASE_YEAR_PATTERN = r"(?U)\(([0-9]{4})\)\s*$"
 # Trailing article moved to the front: "Matrix, The" -> "The Matrix".
 TRAILING_ARTICLE_PATTERN = r"^(.+), (The|A|An)$"
 TRAILING_ARTICLE_REPLACEMENT = "$2 $1"
 # ------------------------------------------------------------------------------
 
-_EDGE_WS = r"^\s+|\s+$"
+_EDGE_WS = r"(?U)^\s+|\s+$"
 
 
 def _col(c) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cofan.functions.formats import epoch_to_utc
+from cofan.functions.formats import epoch_to_utc, utc_wall
 
 
 def _n():
@@ -103,8 +103,7 @@ def overview(ratings: DataFrame, approximate: bool = False) -> DataFrame:
 
 def _utc_text(seconds):
     """Unix seconds -> ``yyyy-MM-dd HH:mm:ss`` in UTC, independent of the session zone."""
-    wall = F.convert_timezone(None, F.lit("UTC"), epoch_to_utc(seconds).cast("timestamp_ntz"))
-    return F.date_format(wall, "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(utc_wall(F.unix_micros(epoch_to_utc(seconds))), "yyyy-MM-dd HH:mm:ss")
 
 
 def time_range(ratings: DataFrame) -> DataFrame:

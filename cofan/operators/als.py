@@ -171,9 +171,10 @@ def popular_recs(flat: DataFrame, movies: DataFrame, ratings: DataFrame, min_cou
     )
 
 
-def experiment(ratings: DataFrame, fraction: float = SAMPLE_FRACTION, weights=SPLIT_WEIGHTS,
+def experiment(ratings: DataFrame, fraction: float | None = None, weights=SPLIT_WEIGHTS,
                seed: int = SPLIT_SEED, **params):
-    """Sample, split, fit: returns ``(model, train, test)``."""
-    sample = ratings.sample(fraction=fraction, seed=seed)
+    """Split and fit on all ratings, or on a sample of ``fraction`` of them when
+    one is asked for: returns ``(model, train, test)``."""
+    sample = ratings if fraction is None else ratings.sample(fraction=fraction, seed=seed)
     train, test = sample.randomSplit(list(weights), seed=seed)
     return fit(train, **params), train, test

@@ -93,7 +93,7 @@ def match_seeds(movies: DataFrame, seeds: DataFrame, query_col: str = "query",
     row count is checked to be small (``joins.at_most``); otherwise
     the joins shuffle on their keys.
     """
-    s = normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram"))
+    s = normalise_seeds(seeds, query_col).select("query_id", "q", F.substring("q", 1, gram).alias("gram")).distinct()
     # One size check; both probe sides below are the seed table or a subset of
     # it, so the decision holds for each.  (A hint does not pass through the
     # anti join, and the planner under-estimates the exploded gram index, so

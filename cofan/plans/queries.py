@@ -376,12 +376,12 @@ def cast_failures(spark, sf_dir):
     O.with_views(
         """
 SELECT movieId, title, genres FROM movies m
-WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.rating = 5.0 AND r.movieId = m.movieId)"""
+WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.movieId = m.movieId)"""
     ),
 )
 def unrated_movies(spark, sf_dir):
     ratings, movies = testdata.load(spark, sf_dir)
-    return A.unrated_movies(movies, ratings.filter(F.col("rating") == 5.0))
+    return A.unrated_movies(movies, ratings)
 
 
 # ---- title functions, catalogue -----------------------------------------------------
@@ -488,7 +488,7 @@ FROM (
   SELECT movieId, title, genres,
          nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '') AS yr,
          regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'),
-                        '^(.+), (The|A|An)$', ' ') AS clean
+                        '^(.+), (The|A|An)$', '\2 \1') AS clean
   FROM movies WHERE title = '"""
         + LOOKUP_TITLE
         + r"""' ORDER BY movieId ASC NULLS FIRST LIMIT 1

@@ -40,7 +40,7 @@ def read_contract_csv(spark: SparkSession, path: str, schema: StructType, keep_e
     file_schema = StructType(
         [StructField(c, by_name[c].dataType, True) if c in by_name else StructField(c, StringType(), True) for c in header]
     )
-    df = _reader(spark).schema(file_schema).csv(path)
+    df = _reader(spark).option("enforceSchema", False).schema(file_schema).csv(path)
     cols = schema.fieldNames() + ([c for c in header if c not in by_name] if keep_extra else [])
     return df.select(*cols)
 

@@ -69,10 +69,13 @@ def test_utc_text_is_zone_independent(spark):
     from cofan.schemas import RATINGS_SCHEMA
 
     df = spark.createDataFrame([(1, 1, 4.0, 789652004), (1, 2, 4.0, 1689843213)], RATINGS_SCHEMA)
+    fold = spark.createDataFrame([(1, 1, 4.0, 1636266600)], RATINGS_SCHEMA)  # the hour New York repeats
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         r = time_range(df).collect()[0]
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert time_range(fold).collect()[0]["earliest_utc"] == "2021-11-07 06:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (r["earliest_utc"], r["latest_utc"]) == ("1995-01-09 11:46:44", "2023-07-20 08:53:33")
