@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes that separate words and that normalisation deletes: ``[\x20\x09-\x0D]``.
 WHITESPACE = b" \t\n\x0b\x0c\r"
+#: Deletes a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
@@ -27,10 +29,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read
-    back.  This cuts lineage: a lost executor costs a re-read, not a recompute."""
+    back.  This cuts lineage: a lost executor costs a re-read, not a recompute.
+    The shuffle files behind the table go once it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path  # for drop_written
     return out
