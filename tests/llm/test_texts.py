@@ -99,6 +99,40 @@ def test_jaccard_chains_and_unlinked_members(spark, monkeypatch):
     assert joined(df) == brute_components(rows)
 
 
+def brute_links(rows):
+    """Every pair of documents that is similar enough."""
+    sets = {i: shingles(t) for i, t in rows}
+    ids = sorted(i for i in sets if sets[i])
+    return {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_jaccard_counts_every_link(spark, edge, monkeypatch, block):
+    """Groups of different near copies, with exact copies, over one and many blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    base = [f"b{k}" for k in range(60)]
+    rows = [(10 * k, " ".join(base[:60 - k] + [f"x{k}"] * (k % 3))) for k in range(14)]
+    rows += [(10 * k + 1, t.upper()) for k, (_, t) in enumerate(rows[:4])] + [(500, rows[5][1]), (501, rows[5][1])]
+    rows += [(600, ""), (601, "alone")]
+    want = brute_links(rows)
+    df = spark.createDataFrame([*rows, rows[5]], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.n_links for r in jaccard_join.annotate(df).collect()}
+    assert got == {i: sum(i in pair for pair in want) for i, _ in rows}
+    # Between classes: by the smallest id of each.
+    sets = {i: frozenset(shingles(t)) for i, t in rows}
+    low = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    found = [tuple(r) for r in jaccard_join.links(df).collect()]
+    assert sorted(found) == sorted({tuple(sorted((low[a], low[b]))) for a, b in want} - {(low[a], low[a]) for a, _ in want})
+    assert len(found) > 30
+
+
+def test_jaccard_links_of_documents(spark):
+    df = documents(spark)
+    want = brute_links(texts(df))
+    got = {r.doc_id: r.n_links for r in jaccard_join.annotate(df).collect()}
+    assert got == {i: sum(i in pair for pair in want) for i, _ in texts(df)}
+
+
 def test_jaccard_keeps_one_of_each_component(spark, edge):
     df = edge.filter("doc_id IS NOT NULL")
     want = {i for i, (_, c) in brute_components(texts(df)).items() if i == c}
