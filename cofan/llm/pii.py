@@ -1,12 +1,14 @@
 r"""Personal data by anchor expansion.
 
-One Aho-Corasick pass over a whole text finds anchors: at-signs, plus signs,
-URL schemes and identifier cues.  Local parsers expand each anchor to the full
-span and validate it.  Digits are anchors of their own for addresses and cards.
+One Aho-Corasick pass over a whole text, A-Z as a-z, finds anchors: at-signs, plus
+signs, URL schemes and identifier cues.  Local parsers expand each anchor to the full
+span and validate it.  Addresses and cards have no anchor: plain patterns of digit
+runs find them in the whole text.
 
 Base kinds, in order: email, ip, card, phone; the method adds url (scheme to
 the next white space, quote or angle bracket) and account (a cue, an optional
-``:``, ``=`` or ``#``, then 6 to 34 letters and digits with at least 4 digits).
+``:``, ``=`` or ``#``, then 6 to 34 letters and digits with at least 4 digits; after
+``iban`` also groups of four with single spaces).
 Spans are code points, end exclusive, leftmost and non-overlapping per kind;
 a match that fails its check is consumed.  Null text counts as empty and has no
 spans; repeated rows are scanned each; an empty table gives an empty result;
@@ -38,7 +40,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE_RUN = re.compile(r"\+[0-9][\x20().0-9-]++")
 URL = re.compile(r"[^\x00-\x20\"'<>\x7f]++")
-ACCOUNT = re.compile(r"\x20?(?:no\.?|number)?\x20?[:=#]?\x20?([A-Za-z0-9]{6,34})(?![A-Za-z0-9])")
+QUALIFIER = r"\x20?(?i:no\.?|number)?\x20?[:=#]?\x20?"
+ACCOUNT = re.compile(QUALIFIER + r"([A-Za-z0-9]{6,34})(?![A-Za-z0-9])")
+IBAN = re.compile(QUALIFIER + r"([A-Za-z]{2}[0-9]{2}(?:\x20[A-Za-z0-9]{4}){2,7}(?:\x20[A-Za-z0-9]{1,3})?)(?![A-Za-z0-9])")
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def luhn(digits: str) -> bool:
@@ -49,12 +54,27 @@ def luhn(digits: str) -> bool:
 def anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for word, kind in [("@", "email"), ("+", "phone"), *((s, "url") for s in SCHEMES), *((c, "account") for c in CUES)]:
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, (kind, len(word)))
+        found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
 
+def lowered(text: str) -> str:
+    """A-Z as a-z; every place stays where it is."""
+    return text.lower() if text.isascii() else text.translate(LOWER)
+
+
+def iban_end(text: str, start: int, end: int) -> int:
+    """End of the IBAN in groups at ``start``: the most groups whose check digits are
+    right, else the most that end in a group with a digit, as words may follow."""
+    ends = [m.start() + start for m in re.finditer(r"\x20|$", text[start:end])][:1:-1]
+    for e in ends:
+        code = text[start:e].replace(" ", "").upper()
+        if len(code) >= 15 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            return e
+    return next((e for e in ends if any(c.isdigit() for c in text[start:e].rpartition(" ")[2])), end)
+
+
 def phone_at(text: str, start: int) -> int:
     """End of the phone pattern that begins at ``start``, else -1."""
     m = PHONE_RUN.match(text, start)
@@ -70,7 +90,7 @@ def spans(text: str, found: ahocorasick.Automaton) -> list[tuple[int, int, int]]
     """(kind index, start, end) of every span, sorted."""
     out: list[tuple[int, int, int]] = []
     done = dict.fromkeys(KINDS, 0)
-    for last, (kind, size) in found.iter(text):
+    for last, (kind, size) in found.iter(lowered(text)):
         start, floor = last - size + 1, done[kind]
         if start < floor:
             continue
@@ -96,6 +116,11 @@ def spans(text: str, found: ahocorasick.Automaton) -> list[tuple[int, int, int]]
                 out.append((4, start, m.end()))
                 done[kind] = m.end()
         else:
+            if text[start : last + 1].lower() == "iban" and (m := IBAN.match(text, last + 1)):
+                end = iban_end(text, m.start(1), m.end(1))
+                out.append((5, m.start(1), end))
+                done[kind] = end
+                continue
             m = ACCOUNT.match(text, last + 1)
             if m and sum(c.isdigit() for c in m[1]) >= 4:
                 out.append((5, m.start(1), m.end(1)))
