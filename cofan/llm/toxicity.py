@@ -6,7 +6,9 @@ classes.  A text's score is that of its most toxic word, so that one insult in a
 long text is not averaged away, and an unseen misspelling shares n-gram vectors.
 Embeddings and softmax are trained jointly in numpy (Adam), a text being toxic if
 any of its words is (noisy or); clean texts teach all their words, toxic ones are
-blamed on words of several training texts.
+blamed on words of several training texts.  A word of fewer texts is blamed too if
+it shares a character n-gram that as many toxic texts hold, relatively more often
+than clean ones: a family of misspellings counts as one word.
 
 Training takes about ``SAMPLE_ROWS`` labelled rows per class, by a hash of the
 id (a documented bound), whole texts each; only their distinct words reach the
@@ -35,6 +37,7 @@ BUCKETS, DIM = 1 << 17, 8
 SAMPLE_ROWS = 1200
 #: A toxic text is blamed on words of so many training texts: a share of the toxic ones, 2 at least.
 BLAME_SHARE = 0.015
+FAMILY_RATIO = 3
 WORD = regex.compile(r"[\p{L}\p{M}']+")
 MAX_WORDS = 400_000  # words remembered per Python worker; beyond it the memory starts anew
 
@@ -85,6 +88,23 @@ class Model:
         return 1 / (1 + np.exp(-np.maximum(worst, -700.0))) * (worst > -np.inf)
 
 
+def _family(at: np.ndarray, doc: np.ndarray, who: np.ndarray, where: np.ndarray, buckets: int, y: np.ndarray, words: int) -> np.ndarray:
+    """Whether a word shares an n-gram that enough toxic texts hold, at over
+    ``FAMILY_RATIO`` times the rate of the clean ones."""
+    by = np.argsort(who, kind="stable")
+    grams, size = where[by], np.bincount(who, minlength=words)
+    first = np.cumsum(size) - size
+    held = np.zeros((2, buckets), np.int64)
+    ends = np.searchsorted(doc, np.arange(len(y) + 1))
+    for d, toxic in enumerate(y):
+        own = at[ends[d] : ends[d + 1]]
+        if len(own):
+            got = np.unique(np.concatenate([grams[first[k] : first[k] + size[k]] for k in own]))
+            held[int(toxic), got] += 1
+    family = (held[1] >= max(2, BLAME_SHARE * y.sum())) & (held[1] * (~y).sum() > FAMILY_RATIO * held[0] * y.sum())
+    return np.bincount(who, family[where], words) > 0
+
+
 def train(docs: list[list[str]], toxic: list[int], seed: int = 11, steps: int = 120) -> Model:
     """Train on distinct words per text and 0/1 labels."""
     rng = np.random.default_rng(seed)
@@ -98,10 +118,11 @@ def train(docs: list[list[str]], toxic: list[int], seed: int = 11, steps: int =
     at = np.array([index.setdefault(x, len(index)) for d in docs for x in d], np.int64)
     doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     often = np.bincount(at, minlength=len(index)) >= max(2, BLAME_SHARE * y.sum())
-    keep = ~y[doc] | often[at]
-    at, doc = at[keep], doc[keep]
     who, where = bags(list(index))
     used, where = np.unique(where, return_inverse=True)
+    often |= _family(at, doc, who, where, len(used), y, len(index))
+    keep = ~y[doc] | often[at]
+    at, doc = at[keep], doc[keep]
     per = np.bincount(who, minlength=len(index)).astype(np.float64)
     weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum()) * len(y)
     slots = [e[used], w, b]
