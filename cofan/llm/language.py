@@ -9,8 +9,8 @@ The shortest code of the whole text names the language, ties to the smaller name
 the score is the posterior under equal priors.
 
 The counts come from a sample of labelled rows: about ``SAMPLE_ROWS`` rows per
-language, taken by a hash of the id, whole texts each (``SAMPLE_LANGS`` most
-frequent languages; a documented bound).  Counting runs in Spark; contexts the
+language, taken by a hash of the id, whole texts each (a documented bound); every
+labelled language is learned.  Counting runs in Spark; contexts the
 sample does not hold take the escape path, so every text gets its exact code
 length.
 
@@ -33,10 +33,10 @@ from pyspark.sql import types as T
 from cofan.llm.common import in_slices, text_bytes
 
 ORDER = 3
-SAMPLE_ROWS, SAMPLE_LANGS = 150, 200
+SAMPLE_ROWS = 150
 UND = "und"
 SLOTS = 1 << 20
-CHUNK = 1 << 19  # windows at a time
+CHUNK = 1 << 21  # windows at a time, times languages
 
 
 def grams(data: np.ndarray, n: int) -> np.ndarray:
@@ -140,8 +140,9 @@ class Ppm:
                 gram = sum(data[starts[own] + i].astype(np.int64) << 8 * (j - i) for i in range(j + 1))
                 out[own] += self.bits(gram, j)
         last = np.maximum(ends - ORDER, starts)  # windows of a text start before this
-        for c in range(0, len(data) - ORDER, CHUNK):
-            g = grams(data[c : c + CHUNK + ORDER], ORDER + 1)
+        chunk = min(1 << 19, max(1 << 10, CHUNK // len(self.langs)))
+        for c in range(0, len(data) - ORDER, chunk):
+            g = grams(data[c : c + chunk + ORDER], ORDER + 1)
             at = self.index[self._slot(g)]
             wrong = np.flatnonzero((self.keys32[at] != g) | (at == len(self.base) - 1))
             cost = np.take(self.base, at, axis=0)
@@ -156,9 +157,8 @@ class Ppm:
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Ppm:
     """Learn from rows with a non-null language."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGS).collect()
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], SAMPLE_ROWS / r["count"])]) if sizes else F.create_map(F.lit(""), F.lit(0.0))
-    taken = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30) < share[F.col("lang")]).select("lang", "text")
+    share = rows.groupBy("lang").agg((F.lit(SAMPLE_ROWS) / F.count("*")).alias("share"))  # one row a language
+    taken = rows.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30) < F.col("share")).select("lang", "text")
     return Ppm(count_grams(taken).toArrow())
 
 
