@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cofan.llm import bpe, content_sort_dedup, jaccard_join, language, mixing, pii, topk, toxicity, url_filter, warc
+from cofan.llm import bpe, content_sort_dedup, hard_negatives, jaccard_join, language, license_scan, mixing, periodic_runs, pii, topk, toxicity, url_filter, warc
 from cofan.llm.common import table
 
 
@@ -65,11 +65,52 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+def repeated_tail(words: F.Column, doc_id: F.Column) -> F.Column:
+    """The words of op12's input: of one document in ten, word i >= a becomes word
+    a + (i - a) % p, with a and p from a hash of the id."""
+    h, n = F.crc32(doc_id.cast("string").cast("binary")), F.size(words).cast("long")
+    g = F.floor(h / 10)
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    moved = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int"))))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), moved).otherwise(words)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0
+    words = F.when(chosen, F.filter(F.split("text", _SPACE + "+"), lambda w: w != ""))
+    split = docs.withColumn("words", words)
+    text = F.coalesce(F.array_join(repeated_tail(F.col("words"), F.col("doc_id")), " "), F.col("text"))
+    found = periodic_runs.find(split.select("doc_id", text.alias("text")))
+    # Greatest length, then smallest start, then smallest period.
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    body = F.when(F.size("runs") == 0, "").otherwise(F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.array_max(ranked).alias("top"), F.sha2(body.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select(
+        "doc_id", "n_runs", (-F.col("top.s")).alias("start"), F.col("top.length").alias("length"), (-F.col("top.p")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.p")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_topk, op2_ngram_jaccard_join, op3_source_mixing, op4_personal_data, op5_bpe,
         op6_exact_dedup, op7_language_id, op8_warc, op9_toxicity, op10_url_filter,
+        op11_hard_negatives, op12_periodic_runs, op13_license_scan,
     )
 }
 
@@ -86,6 +127,26 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, q.label AS own, c.vec_id, c.label,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+p AS (
+  SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
 """,
     "op6_exact_dedup": f"""
 WITH t AS (
