@@ -8,6 +8,10 @@ a final line terminator.
 
 from __future__ import annotations
 
+import json
+import sys
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,6 +76,23 @@ def text_or_empty(c) -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(""))
 
 
+@lru_cache(maxsize=1)
+def folding() -> tuple[str, str, dict[str, str]]:
+    """Full case folding beyond lower case: the characters that fold to one other
+    character, what they fold to, and those that fold to several."""
+    lower = (chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    folds = {c: c.casefold() for c in lower if c.lower() == c != c.casefold()}
+    one = {c: f for c, f in folds.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in folds.items() if len(f) > 1}
+
+
 def casefold(c) -> Column:
-    """Case-insensitive comparison key."""
-    return F.lower(_col(c))
+    """Case-insensitive comparison key: Unicode full case folding ("Straße" as
+    "strasse").  Texts without a character beyond ASCII are only lower-cased."""
+    text = _col(c)
+    source, target, several = folding()
+    low = F.translate(F.lower(text), source, target)
+    known = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
+    wide = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.element_at(known, x), x)), "")
+    folded = F.when(low.rlike("[" + "".join(several) + "]"), wide).otherwise(low)
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(folded)

@@ -4,19 +4,14 @@ Fit on a sample split, predict, evaluate RMSE, recommend top-N for all users,
 flatten the nested recommendations and attach titles, optionally keeping only
 movies with enough ratings.  Iterative fitting checkpoints to the shared
 ``spark.checkpoint.dir`` (``cofan.session.checkpoint_dir``) so a lost executor
-does not replay the whole lineage.
+does not replay the whole lineage.  Ids beyond 32 bits go through ``operators.ids``.
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofan.operators.aggregates import rating_counts
@@ -57,100 +52,22 @@ def rmse_frame(predictions: DataFrame, by: list[str] | None = None) -> DataFrame
     return predictions.groupBy(*(by or [])).agg(err, F.count(F.lit(1)).alias("n"))
 
 
-# Item factors are shipped to the scoring tasks in blocks of at most this many
-# float values (rank x items), i.e. 80 MB as float32; each block's row count is
-# checked before it is collected.
-ITEM_BLOCK_VALUES = 20_000_000
-# Upper bound on one in-task score matrix (users x block items), in floats.
-SCORE_CHUNK_VALUES = 8_000_000
-
-RECS_SCHEMA = "userId int, movieId int, predicted_rating float"
-
-
-def _item_blocks(items: DataFrame, rank: int, block_values: int) -> tuple[DataFrame, int]:
-    """Hash item factors into blocks whose row counts are checked to fit ``block_values``."""
-    per_block = max(1, block_values // max(rank, 1))
-    n = items.count()
-    blocks = max(1, math.ceil(2 * n / per_block))
-    while True:
-        keyed = items.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-        largest = keyed.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
-        if largest <= per_block:
-            return keyed, blocks
-        blocks *= 2
-
-
-def _score_block(bc, k: int):
-    """``mapInPandas`` body: top-``k`` items of one block for each user in the batch."""
-
-    def run(batches):
-        ids, mat = bc.value
-        kk = min(k, len(ids))
-        chunk = max(1, SCORE_CHUNK_VALUES // max(len(ids), 1))
-        for pdf in batches:
-            if pdf.empty or kk == 0:
-                continue
-            users = pdf["id"].to_numpy()
-            feats = np.stack(pdf["features"].to_numpy()).astype(np.float32)
-            for lo in range(0, len(users), chunk):
-                scores = feats[lo:lo + chunk] @ mat.T
-                top = np.argpartition(-scores, kk - 1, axis=1)[:, :kk]
-                top_scores = np.take_along_axis(scores, top, axis=1)
-                order = np.lexsort((ids[top], -top_scores), axis=1)
-                top = np.take_along_axis(top, order, axis=1)
-                top_scores = np.take_along_axis(top_scores, order, axis=1)
-                yield pd.DataFrame(
-                    {
-                        "userId": np.repeat(users[lo:lo + chunk], kk).astype(np.int32),
-                        "movieId": ids[top].ravel().astype(np.int32),
-                        "predicted_rating": top_scores.ravel().astype(np.float32),
-                    }
-                )
-
-    return run
-
-
-def _recommend(model: ALSModel, user_factors: DataFrame, k: int, block_values: int) -> DataFrame:
-    spark = user_factors.sparkSession
-    keyed, blocks = _item_blocks(model.itemFactors, model.rank, block_values)
-    parts = []
-    for b in range(blocks):
-        blk = keyed.filter(F.col("_b") == b).select("id", "features").toPandas()  # size checked above
-        if blk.empty:
-            continue
-        ids = blk["id"].to_numpy().astype(np.int64)
-        mat = np.stack(blk["features"].to_numpy()).astype(np.float32)
-        bc = spark.sparkContext.broadcast((ids, mat))
-        parts.append(user_factors.select("id", "features").mapInPandas(_score_block(bc, k), RECS_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], RECS_SCHEMA)
-    cand = reduce(lambda a, c: a.unionByName(c), parts)
-    if len(parts) == 1:
-        return cand
-    # k candidates per user and block: keep the best k per user (row-limited window).
-    w = Window.partitionBy("userId").orderBy(F.col("predicted_rating").desc(), F.col("movieId"))
-    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
-
-
-def recommend_all(model: ALSModel, k: int = 10, block_values: int = ITEM_BLOCK_VALUES) -> DataFrame:
-    """Flattened top-``k`` items per user by predicted rating:
-    ``(userId, movieId, predicted_rating)``.
-
-    Same result as ``recommendForAllUsers`` flattened, without its cross join of
-    factor blocks: item factors are shipped in size-checked blocks and every
-    partition of user factors is scored with one matrix product per chunk of
-    users, keeping the top ``k`` per user and block.
-    """
-    return _recommend(model, model.userFactors, k, block_values)
-
-
-def recommend_for_users(model: ALSModel, users: DataFrame, k: int = 10,
-                        block_values: int = ITEM_BLOCK_VALUES) -> DataFrame:
-    """Top-``k`` for the users in ``users`` (a frame with ``userId``)."""
-    factors = model.userFactors.join(
-        users.select(F.col("userId").cast("int").alias("id")).distinct(), "id", "left_semi"
-    )
-    return _recommend(model, factors, k, block_values)
+def flatten(nested: DataFrame) -> DataFrame:
+    """``(userId, movieId, predicted_rating)`` from Spark ML's ``(userId,
+    recommendations array<struct<movieId, rating>>)``: one row per recommendation."""
+    return nested.select("userId", F.inline("recommendations")).withColumnRenamed("rating", "predicted_rating")
+
+
+def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:
+    """Top ``k`` items of every user in the model.  Spark ML blocks both factor tables
+    and merges the best of every pair of blocks."""
+    return flatten(model.recommendForAllUsers(int(k)))
+
+
+def recommend_for_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:
+    """Top ``k`` for the users in ``users`` (a frame with ``userId``); unknown users
+    have no rows."""
+    return flatten(model.recommendForUserSubset(users.select(F.col("userId").cast("int").alias("userId")), int(k)))
 
 
 def with_titles(flat: DataFrame, movies: DataFrame) -> DataFrame:

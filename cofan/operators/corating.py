@@ -118,11 +118,11 @@ def recommend_similar(ratings: DataFrame, movies: DataFrame, seed: str, top_n: i
     matches; the check is one small job over the movies dimension.
     """
     if seed is None or not seed.strip():
-        raise ValueError("movie_title must not be empty.")
+        raise ValueError("a blank title names no movie")
     # Some title matches iff some candidate of either tier exists: a one-stage
     # filtered scan of the dimension that stops at the first hit.
     if check and seed_candidates(movies, seed).isEmpty():
-        raise ValueError(f"No movie found for title: {seed}")
+        raise ValueError(f"no title equals or contains {seed!r}")
     sources = match_seed(movies, seed)
     return top_k(with_titles(corated_counts(ratings, sources, min_rating, salt_buckets=salt_buckets), movies), top_n)
 

@@ -102,6 +102,18 @@ def cast_failures(text: DataFrame, schema: StructType, table_name: str) -> DataF
     return wide.select(rows.alias("s")).select(F.lit(table_name).alias("table_name"), "s.*")
 
 
+def malformed_records(rows: DataFrame, table_name: str, corrupt: str = "_corrupt_record", file: str = "_file") -> DataFrame:
+    """``(table_name, file, record_count, malformed, example)`` per input file, for rows
+    read with lineage: how many records do not fit the contract, and the raw text of
+    one of them (the smallest, so that it does not depend on the order of rows)."""
+    cells = [c for c in rows.columns if c not in (corrupt, file)]
+    # A CSV scan judges the cells that it parses, so all of them have to be read.
+    bad = F.when(F.col(corrupt).isNotNull(), F.struct(F.col(corrupt).alias("text"), F.xxhash64(*cells).alias("cells")))
+    return rows.groupBy(F.col(file).alias("file")).agg(
+        F.count(F.lit(1)).alias("record_count"), F.count(bad).alias("malformed"), F.min(bad).alias("first"),
+    ).select(F.lit(table_name).alias("table_name"), "file", "record_count", "malformed", F.col("first.text").alias("example"))
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every column cast to string (the form a header-only CSV read produces)."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

@@ -118,7 +118,7 @@ cands AS (
   SELECT b.*, y.release_year FROM by_word b JOIN word_year y USING (query_title)
 ),
 shaped AS (
-  SELECT query_title, release_year, CAST(k AS INTEGER) AS position,
+  SELECT query_title, release_year, k, CAST(k AS INTEGER) AS position,
          CASE WHEN k % 6 = 0 THEN upper(p_name) WHEN k % 6 = 1 THEN p_name
               ELSE p_name || ' (sequel)' END AS title,
          CASE WHEN k % 4 = 0 THEN p_name ELSE p_type END AS original_title,
@@ -131,8 +131,22 @@ shaped AS (
 ),
 candidates AS (
   SELECT query_title, release_year, 1 AS attempt, position, title, original_title, release_date, poster_path
-  FROM shaped
+  FROM shaped WHERE k % 9 < 5
   UNION ALL
   SELECT query_title, release_year, 2 AS attempt, position, title, original_title, release_date, poster_path
   FROM shaped WHERE release_year IS NOT NULL
 )"""
+
+DIRTY = """
+dirty_ratings AS (
+  SELECT CASE WHEN userId % 97 = 0 THEN 'u' ELSE '' END || CAST(userId AS VARCHAR) AS "userId",
+         CASE WHEN movieId % 89 <> 0 THEN CAST(movieId AS VARCHAR) END AS "movieId",
+         CASE WHEN userId % 53 = 0 THEN 'n/a' ELSE CAST(rating AS VARCHAR) END AS "rating",
+         CAST("timestamp" AS VARCHAR) || CASE WHEN movieId % 71 = 0 THEN 's' ELSE '' END AS "timestamp"
+  FROM ratings
+),
+dirty_movies AS (
+  SELECT CASE WHEN movieId % 101 <> 0 THEN movieId END AS movieId, CASE WHEN movieId % 17 <> 0 THEN title END AS title,
+         CASE WHEN movieId % 19 <> 0 THEN genres END AS genres
+  FROM movies, range(CASE WHEN movieId % 13 = 0 THEN 2 ELSE 1 END)
+)"""

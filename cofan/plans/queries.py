@@ -7,11 +7,11 @@ and returns a lazy DataFrame whose column names equal its SQL twin's in
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cofan import functions as TF
@@ -21,17 +21,20 @@ from cofan.operators import als as ALSOPS
 from cofan.operators import catalog as C
 from cofan.operators import compare as CMP
 from cofan.operators import corating
+from cofan.operators import ids as IDS
 from cofan.operators import quality as Q
 from cofan.operators import splits as SP
 from cofan.operators.cards import result_cards
 from cofan.operators.matching import match_seeds, seed_status
+from cofan.plans import batch_run
 from cofan.plans import oracle as O
 from cofan.schemas import MOVIES_SCHEMA, RATINGS_SCHEMA
 from cofan.session import checkpoint_dir
 from cofan.sources import csv as CSV
 from cofan.sources import files as FILES
+from cofan.sources import parquet as PARQUET
+from cofan.sources import persist_tables, testdata, unpersist_tables
 from cofan.sources import sinks as SINKS
-from cofan.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,6 +311,28 @@ def row_counts(spark, sf_dir):
     return A.row_counts(ratings, movies)
 
 
+ARTICLE_ROWS = [
+    (-1, "Matrix, The (1999)", "Action|Sci-Fi"),
+    (-2, "Beautiful Mind, A (2001)  ", "Drama"),
+    (-3, "X, the (2000)", None),
+    (-4, "Nothing", "(no genres listed)"),
+    (-5, "Apple, An (1980)", "Comedy|Drama"),
+]
+
+
+def _article_sql() -> str:
+    vals = ", ".join(
+        "({}, '{}', {})".format(i, t.replace("'", "''"), "NULL" if g is None else "'" + g + "'")
+        for i, t, g in ARTICLE_ROWS
+    )
+    return f"lit(movieId, title, genres) AS (VALUES {vals})"
+
+
+def _with_articles(spark, movies: DataFrame) -> DataFrame:
+    """``movies`` and the literal rows, which nobody rated."""
+    return movies.unionByName(spark.createDataFrame(ARTICLE_ROWS, "movieId bigint, title string, genres string"))
+
+
 # ---- quality ------------------------------------------------------------------------
 
 
@@ -322,28 +347,32 @@ def _null_sql(table: str, cols: list[str]) -> str:
 @register(
     "null_profile",
     O.with_views(
-        _null_sql("ratings", RATINGS_SCHEMA.fieldNames()) + "\nUNION ALL " + _null_sql("movies", MOVIES_SCHEMA.fieldNames())
+        _null_sql("dirty_ratings", RATINGS_SCHEMA.fieldNames()) + "\nUNION ALL " + _null_sql("dirty_movies", MOVIES_SCHEMA.fieldNames()),
+        O.DIRTY,
     ),
 )
 def null_profile(spark, sf_dir):
     ratings, movies = testdata.load(spark, sf_dir)
-    return Q.null_profile(ratings, "ratings").unionByName(Q.null_profile(movies, "movies"))
+    return Q.null_profile(testdata.dirty_ratings(ratings), "dirty_ratings").unionByName(
+        Q.null_profile(testdata.dirty_movies(movies), "dirty_movies")
+    )
 
 
 @register(
     "key_uniqueness",
     O.with_views(
         """
-SELECT 'movies' AS table_name, CAST(sum(n) AS BIGINT) AS row_count,
+SELECT 'dirty_movies' AS table_name, CAST(sum(n) AS BIGINT) AS row_count,
        CAST(count_if(movieId IS NOT NULL) AS BIGINT) AS distinct_keys,
        CAST(count_if(movieId IS NOT NULL AND n > 1) AS BIGINT) AS duplicate_keys,
        CAST(coalesce(sum(CASE WHEN movieId IS NULL THEN n END), 0) AS BIGINT) AS null_keys
-FROM (SELECT movieId, count(*) AS n FROM movies GROUP BY movieId)"""
+FROM (SELECT movieId, count(*) AS n FROM dirty_movies GROUP BY movieId)""",
+        O.DIRTY,
     ),
 )
 def key_uniqueness(spark, sf_dir):
     _, movies = testdata.load(spark, sf_dir)
-    return Q.key_uniqueness(movies, "movieId", "movies")
+    return Q.key_uniqueness(testdata.dirty_movies(movies), "movieId", "dirty_movies")
 
 
 def _cast_sql(table: str, schema) -> str:
@@ -360,49 +389,89 @@ def _cast_sql(table: str, schema) -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _dirty_snapshot(spark, sf_dir) -> str:
+    """The dirty adapter tables as a CSV snapshot of shards."""
+    out = scratch_dir(spark, "dirty")
+    ratings, movies = testdata.load(spark, sf_dir)
+    SINKS.write_csv(testdata.dirty_ratings(ratings), FILES.join(out, "ratings.csv"))
+    # Reordered header: must still bind by name.
+    SINKS.write_csv(testdata.dirty_movies(movies).select("title", "genres", "movieId"), FILES.join(out, "movies.csv"))
+    return out
+
+
+def _held(df: DataFrame, path: str) -> DataFrame:
+    """A small result kept by a reliable checkpoint; the written tables below ``path``,
+    which it was read from, are deleted."""
+    checkpoint_dir(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    SINKS.delete(df.sparkSession, path)
+    return out
+
+
 @register(
     "cast_failures",
-    O.with_views(_cast_sql("ratings", RATINGS_SCHEMA) + "\nUNION ALL " + _cast_sql("movies", MOVIES_SCHEMA)),
+    O.with_views(_cast_sql("dirty_ratings", RATINGS_SCHEMA) + "\nUNION ALL " + _cast_sql("dirty_movies", MOVIES_SCHEMA), O.DIRTY),
 )
 def cast_failures(spark, sf_dir):
-    ratings, movies = testdata.load(spark, sf_dir)
-    return Q.cast_failures(Q.as_text(ratings), RATINGS_SCHEMA, "ratings").unionByName(
-        Q.cast_failures(Q.as_text(movies), MOVIES_SCHEMA, "movies")
-    )
+    """Text cells of a CSV snapshot that do not cast, per column."""
+    snap = _dirty_snapshot(spark, sf_dir)
+    found = [
+        Q.cast_failures(CSV.read_as_text(spark, FILES.join(snap, f"{t}.csv")), schema, f"dirty_{t}")
+        for t, schema in (("ratings", RATINGS_SCHEMA), ("movies", MOVIES_SCHEMA))
+    ]
+    return _held(found[0].unionByName(found[1]), snap)
+
+
+def _bad_sql(table: str, schema) -> str:
+    duck = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    return " OR ".join(f'("{f.name}" IS NOT NULL AND TRY_CAST("{f.name}" AS {duck[f.dataType.simpleString()]}) IS NULL)' for f in schema.fields)
+
+
+def _line_sql(*names: str) -> str:
+    return " || ',' || ".join(f"coalesce(CAST(\"{n}\" AS VARCHAR), '')" for n in names)
+
+
+@register(
+    "malformed_records",
+    O.with_views(
+        f"""
+SELECT 'ratings' AS table_name, count(*) AS record_count, CAST(count_if(bad) AS BIGINT) AS malformed,
+       min(CASE WHEN bad THEN line END) AS example
+FROM (SELECT {_bad_sql("ratings", RATINGS_SCHEMA)} AS bad, {_line_sql(*RATINGS_SCHEMA.fieldNames())} AS line FROM dirty_ratings)
+UNION ALL
+SELECT 'movies', count(*), CAST(0 AS BIGINT), NULL FROM dirty_movies""",
+        O.DIRTY,
+    ),
+)
+def malformed_records(spark, sf_dir):
+    """Records of a CSV snapshot that do not fit the contract, traced to their files
+    and summed per table."""
+    snap = _dirty_snapshot(spark, sf_dir)
+    per_file = [
+        Q.malformed_records(CSV.with_lineage(spark, FILES.join(snap, f"{t}.csv"), schema), t)
+        for t, schema in (("ratings", RATINGS_SCHEMA), ("movies", MOVIES_SCHEMA))
+    ]
+    out = per_file[0].unionByName(per_file[1]).filter("file IS NOT NULL").groupBy("table_name").agg(
+        F.sum("record_count").alias("record_count"), F.sum("malformed").alias("malformed"), F.min("example").alias("example"))
+    return _held(out, snap)
 
 
 @register(
     "unrated_movies",
     O.with_views(
         """
-SELECT movieId, title, genres FROM movies m
-WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.movieId = m.movieId)"""
+SELECT movieId, title, genres FROM (SELECT movieId, title, genres FROM movies UNION ALL SELECT * FROM lit) m
+WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.movieId = m.movieId)""",
+        _article_sql(),
     ),
 )
 def unrated_movies(spark, sf_dir):
     ratings, movies = testdata.load(spark, sf_dir)
-    return A.unrated_movies(movies, ratings)
+    return A.unrated_movies(_with_articles(spark, movies), ratings)
 
 
 # ---- title functions, catalogue -----------------------------------------------------
 
-ARTICLE_ROWS = [
-    (-1, "Matrix, The (1999)", "Action|Sci-Fi"),
-    (-2, "Beautiful Mind, A (2001)  ", "Drama"),
-    (-3, "X, the (2000)", None),
-    (-4, "Nothing", "(no genres listed)"),
-    (-5, "Apple, An (1980)", "Comedy|Drama"),
-]
-
-
-def _article_sql() -> str:
-    vals = ", ".join(
-        "({}, '{}', {})".format(i, t.replace("'", "''"), "NULL" if g is None else "'" + g + "'")
-        for i, t, g in ARTICLE_ROWS
-    )
-    return f"lit(movieId, title, genres) AS (VALUES {vals})"
-
-
 @register(
     "title_functions",
     O.with_views(
@@ -425,9 +494,8 @@ FROM (
 )
 def title_functions(spark, sf_dir):
     _, movies = testdata.load(spark, sf_dir)
-    extra = spark.createDataFrame(ARTICLE_ROWS, "movieId bigint, title string, genres string")
     t = F.col("title")
-    return movies.unionByName(extra).select(
+    return _with_articles(spark, movies).select(
         "movieId",
         "title",
         _search_title(t).alias("search_title"),
@@ -473,9 +541,8 @@ def movie_rating_count(spark, sf_dir):
     return C.movie_rating_count(ratings, LOOKUP_ID)
 
 
-@register(
-    "selected_movie_panel",
-    O.with_views(
+def _panel_sql(title: str) -> str:
+    return O.with_views(
         r"""
 SELECT p.movieId,
        CASE WHEN yr IS NULL THEN clean ELSE clean || ' (' || yr || ')' END AS display_title,
@@ -489,16 +556,28 @@ FROM (
          nullif(regexp_extract(title, '\((\d{4})\)\s*$', 1), '') AS yr,
          regexp_replace(regexp_replace(regexp_replace(title, '\((\d{4})\)\s*$', ''), '^\s+|\s+$', '', 'g'),
                         '^(.+), (The|A|An)$', '\2 \1') AS clean
-  FROM movies WHERE title = '"""
-        + LOOKUP_TITLE
+  FROM (SELECT movieId, title, genres FROM movies UNION ALL SELECT * FROM lit) WHERE title = '"""
+        + title
         + r"""' ORDER BY movieId ASC NULLS FIRST LIMIT 1
 ) p
-LEFT JOIN (SELECT movieId, count(*) AS n FROM ratings GROUP BY movieId) c ON c.movieId = p.movieId"""
-    ),
-)
-def selected_movie_panel(spark, sf_dir):
-    ratings, movies = testdata.load(spark, sf_dir)
-    return C.movie_panel(movies, ratings, LOOKUP_TITLE)
+LEFT JOIN (SELECT movieId, count(*) AS n FROM ratings GROUP BY movieId) c ON c.movieId = p.movieId""",
+        _article_sql(),
+    )
+
+
+ARTICLE_TITLE = "Matrix, The (1999)"
+
+
+def _panel(title: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ratings, movies = testdata.load(spark, sf_dir)
+        return C.movie_panel(_with_articles(spark, movies), ratings, title)
+
+    return run
+
+
+register("selected_movie_panel", _panel_sql(LOOKUP_TITLE))(_panel(LOOKUP_TITLE))
+register("article_movie_panel", _panel_sql(ARTICLE_TITLE))(_panel(ARTICLE_TITLE))
 
 
 LABELS = C.POPULAR_LABELS + ["Small Ring", "red widget", "BLUE BOLT", "Nothing Here"]
@@ -633,7 +712,7 @@ def hash_split_counts(spark, sf_dir):
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
-    return os.path.join(checkpoint_dir(spark), "cofan-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
+    return FILES.join(checkpoint_dir(spark), "cofan-scratch", f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
 def _cards_sql() -> str:
@@ -664,16 +743,10 @@ def recommendation_cards(spark, sf_dir):
     return result_cards(recs, picks)
 
 
-_ALS_CACHE: dict = {}
-
-
 def _als(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ALS_CACHE:
-        ratings, _ = testdata.load(spark, sf_dir)
-        model, train, test = ALSOPS.experiment(ratings)
-        _ALS_CACHE[key] = (model, test)
-    return _ALS_CACHE[key]
+    ratings, _ = testdata.load(spark, sf_dir)
+    model, _, test = ALSOPS.experiment(ratings)
+    return model, test
 
 
 @register("als_predictions")
@@ -702,6 +775,92 @@ def als_popular_recs(spark, sf_dir):
     return ALSOPS.popular_recs(ALSOPS.recommend_all(model, 10), movies, ratings, 20)
 
 
+WIDE = 1 << 40  # beyond 32 bits
+
+
+@register(
+    "dense_user_index",
+    O.with_views(f"""
+SELECT userId + {WIDE} AS "userId", CAST(row_number() OVER (ORDER BY userId) - 1 AS INTEGER) AS idx
+FROM (SELECT DISTINCT userId FROM ratings)"""),
+)
+def dense_user_index(spark, sf_dir):
+    ratings, _ = testdata.load(spark, sf_dir)
+    return IDS.dense_index(ratings.withColumn("userId", F.col("userId") + WIDE), "userId", "idx")
+
+
+@register(
+    "als_coverage",
+    O.with_views(f"""
+SELECT count(DISTINCT userId) AS users, count(DISTINCT userId) AS users_with_rows,
+       least(10, count(DISTINCT movieId)) AS least_rows, least(10, count(DISTINCT movieId)) AS most_rows,
+       min(userId) + {WIDE} AS first_user, max(userId) + {WIDE} AS last_user, CAST(0 AS BIGINT) AS unknown_movies
+FROM ratings"""),
+)
+def als_coverage(spark, sf_dir):
+    """Ids beyond 32 bits through a fit on all ratings and back: every user gets ten
+    different known movies."""
+    ratings, movies = testdata.load(spark, sf_dir)
+    wide = ratings.select((F.col("userId") + WIDE).alias("userId"), (F.col("movieId") + WIDE).alias("movieId"), "rating")
+    indexed, users, items = IDS.index_ratings(wide)
+    recs = IDS.restore(ALSOPS.recommend_all(ALSOPS.fit(indexed), 10), users, items)
+    known = movies.select((F.col("movieId") + WIDE).alias("movieId"), F.lit(True).alias("known"))
+    per_user = recs.join(known, "movieId", "left").groupBy("userId").agg(
+        F.count_distinct("movieId").alias("n"), F.count_if(F.col("known").isNull()).alias("unknown"))
+    return users.join(per_user, "userId", "left").agg(
+        F.count(F.lit(1)).alias("users"), F.count("n").alias("users_with_rows"), F.min("n").alias("least_rows"),
+        F.max("n").alias("most_rows"), F.min("userId").alias("first_user"), F.max("userId").alias("last_user"),
+        F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown_movies"),
+    )
+
+
+@register(
+    "als_facts",
+    O.with_views(
+        """
+SELECT * FROM (
+  SELECT 'predicted' AS fact, CAST(count(*) AS DOUBLE) AS value FROM test
+  WHERE userId IN (SELECT userId FROM train) AND movieId IN (SELECT movieId FROM train)
+  UNION ALL SELECT 'outside_clamp', 0.0
+  UNION ALL SELECT 'rmse_as_evaluator', 1.0
+  UNION ALL SELECT 'recommended', CAST(10 * count(DISTINCT userId) AS DOUBLE) FROM train
+  UNION ALL SELECT 'untitled', 0.0
+  UNION ALL SELECT 'popular_and_rare', CAST(10 * count(DISTINCT userId) AS DOUBLE) FROM train
+  UNION ALL SELECT 'wrong_counts', 0.0
+  UNION ALL SELECT 'subset_users', CAST(least(5, count(DISTINCT userId)) AS DOUBLE) FROM train
+)""",
+        f"""train AS (SELECT * FROM ratings WHERE {_bucket_sql(1)} < 80),
+test AS (SELECT * FROM ratings WHERE {_bucket_sql(1)} >= 80)""",
+    ),
+)
+def als_facts(spark, sf_dir):
+    """What holds for any model fitted on the hash split: the test rows it predicts, the
+    clamp, RMSE by two ways, recommendations per user, titles and the popularity filter."""
+    ratings, movies = testdata.load(spark, sf_dir)
+    train, test = SP.hash_split(ratings, 80)
+    model = ALSOPS.fit(train)
+    pred = ALSOPS.predict(model, test).checkpoint(eager=True)
+    flat = ALSOPS.recommend_all(model, 10).checkpoint(eager=True)
+    titled, popular = ALSOPS.with_titles(flat, movies), ALSOPS.popular_recs(flat, movies, ratings, 20)
+    counts = A.rating_counts(ratings, "n")
+    rare = flat.join(counts, "movieId").filter("n < 20")
+    users = train.select("userId").distinct().orderBy("userId").limit(5)
+    clamped = F.col("prediction_clamped")
+    fact = lambda name, df, value: df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("fact"), "value")
+    n = F.count(F.lit(1))
+    rows = [
+        fact("predicted", ALSOPS.rmse_frame(pred), F.max("n")),
+        fact("outside_clamp", pred, F.count_if(~clamped.between(0.5, 5.0))),
+        fact("rmse_as_evaluator", ALSOPS.rmse_frame(pred), F.count_if(F.abs(F.col("rmse") - ALSOPS.rmse(pred)) < 1e-9)),
+        fact("recommended", flat, n),
+        fact("untitled", titled, F.count_if(F.col("title").isNull())),
+        fact("popular_and_rare", popular.select("userId").unionAll(rare.select("userId")), n),
+        fact("wrong_counts", popular.join(counts, "movieId"), F.count_if(F.col("num_ratings") != F.col("n"))),
+        fact("subset_users", ALSOPS.recommend_for_users(model, users, 3), F.count_distinct("userId")),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @register("random_sample_split")
 def random_sample_split(spark, sf_dir):
     ratings, _ = testdata.load(spark, sf_dir)
@@ -711,39 +870,146 @@ def random_sample_split(spark, sf_dir):
 
 
 def _write_snapshot(spark, sf_dir) -> str:
-    """The adapter tables written as a CSV snapshot (one folder per table)."""
+    """The adapter tables written as a CSV snapshot (one folder of shards per table)."""
     out = scratch_dir(spark, "snapshot")
     ratings, movies = testdata.load(spark, sf_dir)
-    SINKS.write_csv(ratings, os.path.join(out, "ratings.csv"), single_file=False)
+    SINKS.write_csv(ratings, FILES.join(out, "ratings.csv"))
     # Reordered header: must still bind by name.
-    SINKS.write_csv(movies.select("title", "genres", "movieId"), os.path.join(out, "movies.csv"), single_file=False)
+    SINKS.write_csv(movies.select("title", "genres", "movieId"), FILES.join(out, "movies.csv"))
     return out
 
 
-@register(
-    "csv_round_trip",
-    # Same result as ``top_movies``, with ids at the CSV contract's int type.
-    SQL["top_movies"].replace("SELECT s.movieId, m.title", "SELECT CAST(s.movieId AS INTEGER) AS movieId, m.title", 1),
-)
+#: ``top_movies`` with ids at the CSV contract's int type.
+_INT_TOP = SQL["top_movies"].replace("SELECT s.movieId, m.title", "SELECT CAST(s.movieId AS INTEGER) AS movieId, m.title", 1)
+
+
+@register("csv_round_trip", _INT_TOP)
 def csv_round_trip(spark, sf_dir):
     snap = _write_snapshot(spark, sf_dir)
     ratings, movies = CSV.load(spark, snap)
-    return A.top_movies(ratings, movies, 100)
+    return _held(A.top_movies(ratings, movies, 100), snap)
+
+
+@register("parquet_round_trip", _INT_TOP)
+def parquet_round_trip(spark, sf_dir):
+    """Top movies from a Parquet zone at the contract's types, its tables persisted
+    while the counts are taken."""
+    zone = scratch_dir(spark, "zone")
+    for name, df in zip(("ratings", "movies"), testdata.load(spark, sf_dir)):
+        SINKS.write_parquet(df, FILES.join(zone, name))
+    kept = persist_tables(*PARQUET.load(spark, zone, cast=True))
+    out = _held(A.top_movies(*kept, 100), zone)
+    unpersist_tables(*kept)
+    return out
 
 
-@register("input_contract")
-def input_contract(spark, sf_dir):
+@register(
+    "inferred_types",
+    O.with_views("""
+SELECT * FROM (VALUES ('movies', 'title', 'string'), ('movies', 'genres', 'string'), ('movies', 'movieId', 'int'),
+  ('ratings', 'userId', 'int'), ('ratings', 'movieId', 'int'), ('ratings', 'rating', 'double'), ('ratings', 'timestamp', 'int'))
+  t(table_name, column_name, inferred), (SELECT count(*) AS rated_rows FROM ratings)"""),
+)
+def inferred_types(spark, sf_dir):
+    """Types that an exploratory read infers from the whole CSV snapshot."""
     snap = _write_snapshot(spark, sf_dir)
-    from cofan.schemas import REQUIRED_COLUMNS
+    tables = {t: CSV.read_inferred(spark, FILES.join(snap, f"{t}.csv")) for t in ("ratings", "movies")}
+    types = [(t, c, kind) for t, df in tables.items() for c, kind in df.dtypes]
+    rated = tables["ratings"].agg(F.count(F.lit(1)).alias("rated_rows"))
+    out = spark.createDataFrame(types, "table_name string, column_name string, inferred string").withColumn("rated_rows", rated.scalar())
+    return _held(out, snap)
 
-    headers = spark.createDataFrame(
-        [(f, CSV.read_header(spark, os.path.join(snap, f))) for f in REQUIRED_COLUMNS],
-        "file_name string, columns array<string>",
-    )
-    return Q.contract_report(headers, REQUIRED_COLUMNS)
+
+@register(
+    "input_contract",
+    O.with_views(
+        f"""
+SELECT 'ratings.csv' AS table_name, true AS headers_complete, count(*) AS record_count,
+       CAST(count_if({_bad_sql("ratings", RATINGS_SCHEMA)}) AS BIGINT) AS malformed,
+       CAST(count_if("userId" IS NULL OR "movieId" IS NULL) AS BIGINT) AS without_key FROM dirty_ratings
+UNION ALL
+SELECT 'movies.csv', true, count(*), CAST(0 AS BIGINT), CAST(count_if(movieId IS NULL) AS BIGINT) FROM dirty_movies""",
+        O.DIRTY,
+    ),
+)
+def input_contract(spark, sf_dir):
+    """Every file's header and every record of a CSV snapshot against the contract:
+    records, malformed ones, and ones whose text has no key."""
+    snap = _dirty_snapshot(spark, sf_dir)
+    report = FILES.header_report(FILES.headers(spark, snap))
+    complete = report.groupBy("table_name").agg(F.every(F.size("missing") == 0).alias("headers_complete"))
+    parts = []
+    for name, schema, keys in (("ratings", RATINGS_SCHEMA, ("userId", "movieId")), ("movies", MOVIES_SCHEMA, ("movieId",))):
+        path = FILES.join(snap, f"{name}.csv")
+        bad = Q.malformed_records(CSV.with_lineage(spark, path, schema), name).agg(
+            F.sum("record_count").alias("record_count"), F.sum("malformed").alias("malformed"))
+        text = CSV.read_as_text(spark, path)
+        without = text.agg(F.count_if(reduce(Column.__or__, [F.col(k).isNull() for k in keys])).alias("n"))
+        parts.append(bad.select(F.lit(f"{name}.csv").alias("table_name"), "*", without.scalar().alias("without_key")))
+    return _held(complete.join(parts[0].unionByName(parts[1]), "table_name"), snap)
+
+
+def _fingerprint_sql(table: str, columns: list[str]) -> str:
+    cell = lambda c: f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    word = lambda k: f"CAST(sum(('0x' || substr(h, {1 + 8 * k}, 8))::UBIGINT) AS BIGINT)"
+    text = " || ".join(map(cell, columns))
+    return f"SELECT '{table}' AS table_name, count(*) AS row_count, {word(0)} AS hash_a, {word(1)} AS hash_b FROM (SELECT md5({text}) AS h FROM {table})"
 
 
-@register("snapshot_fingerprint")
+#: Columns of the raw tables that the logical tables are made of.
+_SOURCE_COLUMNS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_quantity", "l_shipdate"], "orders": ["o_orderkey", "o_custkey"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
+}
+
+
+@register("snapshot_fingerprint", "\nUNION ALL ".join(_fingerprint_sql(t, c) for t, c in _SOURCE_COLUMNS.items()))
 def snapshot_fingerprint(spark, sf_dir):
-    names = [f"{t}.parquet" for t in testdata.TABLES]
-    return FILES.fingerprint(spark, sf_dir, names)
+    """Fingerprints of the contents of the tables that the library's inputs come from."""
+    rows = [FILES.content_fingerprint(testdata.table(spark, sf_dir, t).select(*c), t) for t, c in _SOURCE_COLUMNS.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _batch_run(spark, sf_dir) -> tuple[str, str]:
+    """(snapshot, output) of a batch run over the sharded CSV snapshot."""
+    snap, out = _write_snapshot(spark, sf_dir), scratch_dir(spark, "run")
+    batch_run.run(spark, snap, out, movie_title=SEED_EXACT, top_n=10, processed_top_n=100)
+    return snap, out
+
+
+@register(
+    "batch_run_record",
+    O.with_views(
+        f"""
+SELECT 'success' AS status, (SELECT count(*) FROM ratings) AS ratings, (SELECT count(*) FROM movies) AS movies,
+       (SELECT count(*) FROM ({SQL['top_movies']})) AS processed_top_movies,
+       (SELECT count(*) FROM ({SQL['similar_items_exact']})) AS sample_recommendations, true AS utc_times"""
+    ),
+)
+def batch_run_record(spark, sf_dir):
+    """The run record of a batch run, read back from its JSON lines."""
+    snap, out = _batch_run(spark, sf_dir)
+    iso = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?\+00:00$"
+    times = F.col("completed_at").rlike(iso) & F.col("started_at").rlike(iso) & (F.col("started_at") <= F.col("completed_at"))
+    counts = [F.col(f"row_counts.{c}").alias(c) for c in ("ratings", "movies", "processed_top_movies", "sample_recommendations")]
+    got = _held(batch_run.read_run_records(spark, out).select("status", *counts, times.alias("utc_times")), snap)
+    SINKS.delete(spark, out)
+    return got
+
+
+@register("batch_run_top_movies", SQL["top_movies"])
+def batch_run_top_movies(spark, sf_dir):
+    """The top movies that a batch run wrote, read back with their types."""
+    snap, out = _batch_run(spark, sf_dir)
+    top = spark.read.option("header", True).option("escape", '"').csv(FILES.join(out, batch_run.TOP), schema=(
+        "movieId long, title string, genres string, rating_count long, average_rating double"))
+    got = _held(top, snap)
+    SINKS.delete(spark, out)
+    return got
+
+
+@register("similar_items_checked", SQL["similar_items_exact"])
+def similar_items_checked(spark, sf_dir):
+    """The recommendation with its check that some title matches."""
+    ratings, movies = testdata.load(spark, sf_dir)
+    return corating.recommend_similar(ratings, movies, SEED_EXACT, top_n=10, check=True)

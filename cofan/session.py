@@ -7,7 +7,6 @@ Library functions never create or stop a session: they take the caller's.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +41,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must be present (a folder every executor can
-    reach); only a local session gets a private scratch folder when it is unset.
+    reach); a local session without it uses a folder of its warehouse.
     The folder is also registered with the SparkContext so that ``checkpoint()``
     and iterative ML algorithms use it.
     """
@@ -57,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a shared folder is required on a cluster"
             )
-        path = tempfile.mkdtemp(prefix="cofan-ckpt-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         try:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # some deployments freeze core settings at runtime

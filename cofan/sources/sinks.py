@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from cofan.functions.formats import utc_iso_now
 
 
-def write_csv(df: DataFrame, out_dir: str, single_file: bool = True) -> str:
-    """Overwrite ``out_dir`` with a header CSV.  ``single_file`` is for bounded
-    results (top-k reports); large frames keep their partitioning."""
+def write_csv(df: DataFrame, out_dir: str, single_file: bool = False) -> str:
+    """Overwrite ``out_dir`` with CSV files that have a header, one a partition;
+    ``single_file`` is for bounded results (top-k reports)."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option(
         "escape", '"'
     ).csv(out_dir)
@@ -40,3 +40,9 @@ def append_run_record(spark: SparkSession, record: dict, out_dir: str) -> str:
     """Append the record as JSON lines to ``out_dir`` (history is kept)."""
     run_record(spark, record).coalesce(1).write.mode("append").json(out_dir)
     return out_dir
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

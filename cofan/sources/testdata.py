@@ -79,6 +79,30 @@ def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return ratings, movies
 
 
+def dirty_ratings(ratings: DataFrame) -> DataFrame:
+    """Ratings as text with cells that do not fit the contract: every 97th user id and
+    every 71st movie's timestamps are no numbers, every 53rd user's ratings neither, and
+    every 89th movie id is missing."""
+    u, m = F.col("userId"), F.col("movieId")
+    return ratings.select(
+        F.when(u % 97 == 0, F.concat(F.lit("u"), u.cast("string"))).otherwise(u.cast("string")).alias("userId"),
+        F.when(m % 89 != 0, m.cast("string")).alias("movieId"),
+        F.when(u % 53 == 0, "n/a").otherwise(F.col("rating").cast("string")).alias("rating"),
+        F.when(m % 71 == 0, F.concat(F.col("timestamp").cast("string"), F.lit("s"))).otherwise(F.col("timestamp").cast("string")).alias("timestamp"),
+    )
+
+
+def dirty_movies(movies: DataFrame) -> DataFrame:
+    """Movies with every 101st id, 17th title and 19th genre list missing, and every
+    13th row given twice."""
+    m = F.col("movieId")
+    rows = movies.select(
+        F.when(m % 101 != 0, m).alias("movieId"), F.when(m % 17 != 0, F.col("title")).alias("title"),
+        F.when(m % 19 != 0, F.col("genres")).alias("genres"), F.explode(F.sequence(F.lit(1), F.when(m % 13 == 0, 2).otherwise(1))),
+    )
+    return rows.select("movieId", "title", "genres")
+
+
 def catalogue_candidates(part: DataFrame) -> DataFrame:
     """Search-candidate rows derived from ``part`` for the catalogue matcher.
 
@@ -93,8 +117,8 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
     (k % 6 = 1) or ``name (sequel)``; original title = the name when k % 4 = 0,
     else the type; release date = empty (k % 7 = 0), ``(1950+size)-01-01`` for
     even k, ``(1951+size)-01-01`` for odd k; image path NULL (k % 5 = 0), empty
-    (k % 10 = 3) or ``/p<k>.jpg``.  Attempt 1 lists every candidate at
-    position k; attempt 2 repeats them when the query has a year.
+    (k % 10 = 3) or ``/p<k>.jpg``.  Attempt 1 lists the candidates with k % 9 < 5 at
+    position k; attempt 2 lists all of them when the query has a year.
     """
     own_year = (F.lit(1950) + F.col("p_size")).cast("string")
     first_word = F.regexp_extract(F.col("p_name"), r"^(\S+)", 1)
@@ -118,6 +142,7 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
     shaped = cands.select(
         "query_title",
         "release_year",
+        k,
         k.cast("int").alias("position"),
         F.when(k % 6 == 0, F.upper("p_name"))
         .when(k % 6 == 1, F.col("p_name"))
@@ -132,7 +157,7 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("/p"), k.cast("string"), F.lit(".jpg")))
         .alias("poster_path"),
     )
-    attempt1 = shaped.withColumn("attempt", F.lit(1))
+    attempt1 = shaped.filter(k % 9 < 5).withColumn("attempt", F.lit(1))
     attempt2 = shaped.filter(F.col("release_year").isNotNull()).withColumn("attempt", F.lit(2))
     return attempt1.unionByName(attempt2).select(
         "query_title", "release_year", "attempt", "position", "title", "original_title", "release_date", "poster_path"

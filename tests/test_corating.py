@@ -47,7 +47,7 @@ def test_blank_seed_raises(ratings, movies, seed):
 
 
 def test_no_match_raises(ratings, movies):
-    with pytest.raises(ValueError, match="No movie found"):
+    with pytest.raises(ValueError, match="no title equals"):
         corating.recommend_similar(ratings, movies, "zzz")
 
 

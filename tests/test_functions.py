@@ -79,3 +79,22 @@ def test_utc_text_is_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (r["earliest_utc"], r["latest_utc"]) == ("1995-01-09 11:46:44", "2023-07-20 08:53:33")
+
+
+def test_casefold_is_full_case_folding(spark):
+    from cofan.functions.titles import casefold
+
+    texts = ["Straße", "STRASSE", "ΌΔΟΣ Σ ς", "ﬁnal ﬀ", "İstanbul", "plain ASCII 42", "", None, "ÀÉ ẞ ŉ", "Ꭰꭰ", "ǰΐև", "line\nﬆ"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", casefold("t").alias("k")).collect()
+    assert [r["k"] for r in got] == [None if r["t"] is None else r["t"].casefold() for r in got]
+
+
+def test_titles_match_by_case_folding(spark):
+    from cofan.operators.catalog import best_matches, resolve_labels
+    from cofan.schemas import CANDIDATES_SCHEMA, MOVIES_SCHEMA
+
+    c = spark.createDataFrame(
+        [("Strasse", None, 1, 1, "Other", None, "", "/a"), ("Strasse", None, 1, 2, "Straße", None, "", "/b")], CANDIDATES_SCHEMA)
+    assert best_matches(c).first()["title"] == "Straße"
+    m = spark.createDataFrame([(1, "Straße, Die (1999)", None)], MOVIES_SCHEMA)
+    assert resolve_labels(m, spark.createDataFrame([("STRASSE, DIE",)], "label string")).first()["full_title"] == "Straße, Die (1999)"

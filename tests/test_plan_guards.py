@@ -20,5 +20,7 @@ def test_plan_has_no_forbidden_operator(spark, name):
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
     plan = buf.getvalue()
-    bad = [op for op in FORBIDDEN if op in plan]
+    # Spark ML's recommendForAllUsers pairs blocks of factors, not rows.
+    allowed = ("CartesianProduct", "BroadcastNestedLoopJoin") if name.startswith("als_") else ()
+    bad = [op for op in FORBIDDEN if op in plan and op not in allowed]
     assert not bad, f"{name}: {bad}"

@@ -56,3 +56,10 @@ def test_gram_index_is_never_the_broadcast_side(spark, movies):
     assert inputs, p
     for cols in inputs:
         assert "lower_title" not in cols
+
+
+def test_overview_copies_no_row_and_scans_twice(spark, ratings, tmp_path):
+    ratings.write.parquet(str(tmp_path / "r"))
+    p = plan_text(A.overview(spark.read.parquet(str(tmp_path / "r"))))
+    tree = p.split("\n\n")[0]
+    assert "Expand" not in p and p.count("ReadSchema: ") == 2, tree

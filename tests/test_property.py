@@ -62,39 +62,16 @@ def test_recommendations_equal_brute_force(spark, tables, top_n, min_rating):
 
 
 def brute_best(cands, query, year):
-    """Attempt by attempt: tiers 1..3 in list order; else the first candidate overall."""
-
-    def year_of(d):
-        d = d or ""
-        return d[:4] if len(d) >= 4 else None
-
-    def pick(results, fallback):
-        usable = [c for c in results if c["poster_path"]]
-        if not usable:
-            return None
-        qf = query.lower()
-        titled = lambda c: qf in {(c["title"] or "").lower(), (c["original_title"] or "").lower()}
-        for c in usable:
-            if titled(c) and year_of(c["release_date"]) == year:
-                return c
-        for c in usable:
-            if titled(c):
-                return c
-        if year:
-            for c in usable:
-                if year_of(c["release_date"]) == year:
-                    return c
-        return usable[0] if fallback else None
-
-    attempts = [1, 2] if year else [1]
-    everything = []
-    for a in attempts:
-        results = sorted((c for c in cands if c["attempt"] == a), key=lambda c: c["position"])
-        everything += results
-        hit = pick(results, False)
-        if hit:
-            return hit
-    return pick(everything, True)
+    """The least usable candidate by (no tier, attempt, tier, position)."""
+
+    def order(c):
+        named = query.casefold() in ((c["title"] or "").casefold(), (c["original_title"] or "").casefold())
+        when = c["release_date"] or ""
+        dated = (when[:4] if len(when) > 3 else None) == year
+        tier = (1 if dated else 2) if named else 3 if dated and year else 4
+        return tier == 4, c["attempt"], tier, c["position"]
+
+    return min((c for c in cands if c["poster_path"]), key=order, default=None)
 
 
 cand_rows = st.lists(

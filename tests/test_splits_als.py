@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cofan.operators import als as ALSOPS
+from cofan.operators import ids as IDS
 from cofan.operators import splits as SP
 
 
@@ -43,16 +45,38 @@ def test_checkpoint_dir_reads_session_setting(spark):
     assert configured in spark.sparkContext.getCheckpointDir()
 
 
-def test_recommend_all_equals_mllib(spark, ratings):
+def test_nested_recommendations_are_exploded(spark, ratings):
     model = ALSOPS.fit(ratings, maxIter=3)
-    ref = {}
-    for r in model.recommendForAllUsers(3).collect():
-        ref[r["userId"]] = [x["movieId"] for x in r["recommendations"]]
-    ours, blocked = {}, {}
-    for r in ALSOPS.recommend_all(model, 3).collect():
-        ours.setdefault(r["userId"], []).append((r["predicted_rating"], r["movieId"]))
-    for r in ALSOPS.recommend_all(model, 3, block_values=model.rank * 2).collect():
-        blocked.setdefault(r["userId"], []).append((r["predicted_rating"], r["movieId"]))
-    norm = lambda d: {u: [m for _, m in sorted(v, key=lambda t: (-t[0], t[1]))] for u, v in d.items()}
-    assert norm(ours) == ref
-    assert norm(blocked) == ref
+    nested = model.recommendForAllUsers(3)
+    want = sorted((r["userId"], x["movieId"], x["rating"]) for r in nested.collect() for x in r["recommendations"])
+    assert len(want) == 12 and sorted(map(tuple, ALSOPS.recommend_all(model, 3).collect())) == want
+    empty = nested.limit(0)
+    assert ALSOPS.flatten(empty).columns == ["userId", "movieId", "predicted_rating"] and ALSOPS.flatten(empty).count() == 0
+
+
+def test_dense_index_numbers_in_key_order(spark):
+    keys = [5 << 40, -3, 7, 7, None, 1 << 33, 0] + list(range(100, 400, 3))
+    df = spark.createDataFrame([(k, "x") for k in keys], "userId long, idx string").repartition(6)
+    got = sorted(tuple(r) for r in IDS.dense_index(df, "userId", "n").collect())
+    assert got == [(k, n) for n, k in enumerate(sorted({k for k in keys if k is not None}))]
+    assert IDS.dense_index(df.limit(0), "userId", "n").count() == 0
+
+
+def test_more_keys_than_ints_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(IDS, "MAX_IDS", 3)
+    with pytest.raises(ValueError, match="32-bit"):
+        IDS.dense_index(spark.range(4).withColumnRenamed("id", "userId"), "userId", "n")
+
+
+def test_wide_ids_fit_and_map_back(spark, ratings):
+    wide = ratings.select((F.col("userId") + (1 << 40)).alias("userId"), (F.col("movieId") - (1 << 35)).alias("movieId"), "rating")
+    indexed, users, items = IDS.index_ratings(wide)
+    assert indexed.schema["userId"].dataType.simpleString() == "int" and indexed.count() == 12
+    back = IDS.restore(ALSOPS.predict(ALSOPS.fit(indexed, maxIter=2), indexed), users, items)
+    assert sorted((r["userId"], r["movieId"], r["rating"]) for r in back.collect()) == sorted(tuple(r) for r in wide.collect())
+
+
+def test_users_the_model_does_not_know(spark, ratings):
+    model = ALSOPS.fit(ratings, maxIter=2)
+    users = spark.createDataFrame([(1,), (1,), (404,), (None,)], "userId long")
+    assert {r["userId"] for r in ALSOPS.recommend_for_users(model, users, 2).collect()} == {1}
