@@ -24,7 +24,9 @@ source pairs checkpointed and size-checked, distinct ``(query_id, userId)``
 fans joined to likes on userId (an inner join, so the fans must be distinct),
 counts per ``(query_id, movieId)``, and a per-seed ``row_number`` window
 limited to top-k (planned with a partial group limit before the window's
-shuffle).
+shuffle).  Users with more than ``HEAVY_LIKES`` likes are found first (a count with
+partial aggregation), and only their rows are salted on both sides of that join, so
+that a hot user spreads over the cluster with or without AQE.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ from cofan.session import checkpoint_dir
 
 DEFAULT_MIN_RATING = 4.5
 DEFAULT_TOP_N = 10
+# A user with more likes than this is dealt over SALTS parts of the batch join.
+HEAVY_LIKES, SALTS = 1 << 18, 64
 
 RESULT_COLUMNS = ["movieId", "title", "genres", "fan_rating_count"]
 
@@ -140,6 +144,24 @@ def ids_frame(spark, ids, dtype: str = "bigint") -> DataFrame:
     return spark.createDataFrame([(int(i),) for i in ids], f"movieId {dtype}")
 
 
+def heavy_users(liked: DataFrame, at_least: int | None = None) -> DataFrame:
+    """``userId`` of the users with more than ``at_least`` likes: at most
+    rows / ``at_least`` of them."""
+    bound = HEAVY_LIKES if at_least is None else int(at_least)
+    return liked.groupBy("userId").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bound).select("userId")
+
+
+def fan_pairs(liked: DataFrame, fans: DataFrame, heavy: DataFrame, salts: int) -> DataFrame:
+    """``liked ⋈ fans`` on userId; the likes of ``heavy`` users are dealt into ``salts``
+    parts by movie, and their fan rows go to each part."""
+    mark = heavy.select("userId", F.lit(True).alias("_heavy"))
+    deal = F.when(F.col("_heavy"), F.pmod(F.xxhash64("movieId"), F.lit(int(salts))).cast("int")).otherwise(F.lit(0))
+    every = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(int(salts) - 1))).otherwise(F.array(F.lit(0)))
+    left = liked.join(mark, "userId", "left").select("userId", "movieId", deal.alias("_salt"))
+    right = fans.join(mark, "userId", "left").select("query_id", "userId", F.explode(every).alias("_salt"))
+    return left.join(right, ["userId", "_salt"]).select("query_id", "userId", "movieId")
+
+
 def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top_n: int = DEFAULT_TOP_N,
                     min_rating: float = DEFAULT_MIN_RATING, query_col: str = "query",
                     salt_buckets: int | None = None) -> DataFrame:
@@ -148,7 +170,8 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
     Output ``(query_id, rank, movieId, title, genres, fan_rating_count)``;
     seeds that are blank or match nothing contribute no rows (see
     ``matching.seed_status`` for a per-seed status).  Equal to running
-    ``recommend_similar`` once per seed.
+    ``recommend_similar`` once per seed.  ``salt_buckets`` is the number of parts a
+    heavy user is dealt into.
     """
     # Source pairs are materialised once in the shared checkpoint folder: the
     # matching sub-plan is not recomputed for the exclusion join, and the size
@@ -156,26 +179,23 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
     # exploded n-gram index makes too low).
     checkpoint_dir(seeds.sparkSession)
     sources = match_seeds(movies, seeds, query_col).select("query_id", "movieId").checkpoint(eager=True)
-    src = joins.side(sources, joins.at_most(sources, joins.BROADCAST_MAX_ROWS))
+    src = joins.side(sources, joins.at_most(sources))
     liked = likes(ratings, min_rating)
     fans = liked.join(src, "movieId").select("query_id", "userId").distinct()
-    if salt_buckets and salt_buckets > 1:
-        # Explicit salting (clusters without AQE): each like row takes one
-        # deterministic salt and meets exactly one replica of each fan row.
-        n = int(salt_buckets)
-        pairs = liked.withColumn("_salt", F.pmod(F.xxhash64("movieId"), F.lit(n)).cast("int")).join(
-            fans.select("query_id", "userId", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")),
-            ["userId", "_salt"],
-        )
-    else:
-        pairs = liked.join(fans, "userId")
+    heavy = heavy_users(liked).checkpoint(eager=True)
+    pairs = liked.join(fans, "userId")
+    if not heavy.isEmpty():
+        pairs = fan_pairs(liked, fans, joins.side(heavy, joins.at_most(heavy)), salt_buckets or SALTS)
     counts = (
         pairs
         .groupBy("query_id", "movieId")
         .agg(F.count(F.lit(1)).alias("fan_rating_count"))
         .join(src, ["query_id", "movieId"], "left_anti")
     )
-    ranked = counts.join(movies.select("movieId", "title", "genres"), "movieId")
+    # Movies without metadata drop out before the cut.  The first cut compares numbers
+    # only and keeps every tie of the last count; titles join the few rows it leaves.
+    best = top_counts(counts.join(movies.select("movieId"), "movieId", "left_semi"), top_n)
+    ranked = best.join(movies.select("movieId", "title", "genres"), "movieId")
     w = Window.partitionBy("query_id").orderBy(*ranking_order())
     return (
         ranked.withColumn("rank", F.row_number().over(w))
@@ -184,6 +204,12 @@ def recommend_batch(ratings: DataFrame, movies: DataFrame, seeds: DataFrame, top
     )
 
 
+def top_counts(counts: DataFrame, top_n: int) -> DataFrame:
+    """The rows of each query whose count is among its ``top_n`` largest, ties included."""
+    w = Window.partitionBy("query_id").orderBy(F.col("fan_rating_count").desc())
+    return counts.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= int(top_n)).drop("_r")
+
+
 def result_summary(recs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows, total fan-rating signals and distinct genres of a result (per ``by`` group).
 

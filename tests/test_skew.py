@@ -117,3 +117,51 @@ def test_salted_batch_join_equals_plain(spark, movies):
     for r in corating.recommend_batch(ratings, movies, seeds, top_n=10, salt_buckets=8).collect():
         got.setdefault(r["query_id"], {})[r["movieId"]] = r["fan_rating_count"]
     assert got == {"a": _brute({1}), "b": _brute({2})}
+
+
+def test_heavy_users_are_salted_by_default_without_aqe(spark, movies, monkeypatch):
+    monkeypatch.setattr(corating, "HEAVY_LIKES", 5000)
+    ratings = _hot_user_ratings(spark)
+    assert [r["userId"] for r in corating.heavy_users(corating.likes(ratings)).collect()] == [0]
+    seeds = spark.createDataFrame([("a", "Toy Story"), ("b", "Jumanji"), ("c", "inception")], "query_id string, query string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = corating.recommend_batch(ratings, movies, seeds, top_n=10)
+        got = {}
+        for r in df.collect():
+            got.setdefault(r["query_id"], {})[r["movieId"]] = r["fan_rating_count"]
+        plan = _final_plan(df)
+        liked = corating.likes(ratings)
+        fans = liked.filter("movieId = 1").selectExpr("'a' AS query_id", "userId").distinct()
+        pairs = corating.fan_pairs(liked, fans, corating.heavy_users(liked), 16)
+        sizes = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {"a": _brute({1}), "b": _brute({2}), "c": _brute({79132})}
+    assert "_salt" in plan
+    assert sum(sizes) == sum(1 for i in range(N) if _user(i) in _FANS)
+    assert max(sizes) < 0.6 * sum(sizes)
+
+
+def _user(i):
+    return 0 if i % 3 == 0 else i % 2000 + 1
+
+
+_FANS = {_user(i) for i in range(0, N, 5)}  # movie 1 is on every fifth row
+
+
+def test_hot_gram_is_no_probe_of_longer_seeds(spark):
+    from cofan.operators import matching
+
+    titles = [(i, f"the thing number {i} (2000)", "X") for i in range(400)] + [(900, "the zyx (1999)", "X"), (901, "Other (1990)", "Y")]
+    m = spark.createDataFrame(titles, "movieId int, title string, genres string")
+    seeds = spark.createDataFrame([("a", "the zy"), ("b", "the qqq"), ("c", "er"), ("d", "e thing number 39"), ("e", "the zyx"), ("f", " ")], "query_id string, query string")
+    s = matching.normalise_seeds(seeds)
+    probes = {r["query_id"]: r["gram"] for r in matching.rarest_grams(m, s, [2, 3], 3, True).collect()}
+    assert "b" not in probes and probes["a"] in (" zy", "e z") and probes["c"] == "er" and probes["d"] not in ("the", "thi", "ing")
+    got = sorted((r["query_id"], r["movieId"]) for r in matching.match_seeds(m, seeds).collect())
+    want = [("a", 900), ("e", 900)] + [(q, i) for q, k in (("c", "er"), ("d", "e thing number 39")) for i, t, _ in titles if k in t.lower()]
+    assert got == sorted(want)
