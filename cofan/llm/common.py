@@ -27,7 +27,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read
     back.  This cuts lineage: a lost executor costs a re-read, not a recompute.
     The shuffle files behind the table go once it is written."""
@@ -36,7 +36,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
@@ -47,13 +47,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete a table made by ``written`` that nothing reads any more."""
     path = getattr(df, "_scratch", None)
     if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        drop_path(df.sparkSession, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

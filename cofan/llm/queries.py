@@ -50,7 +50,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("digest_ok")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +127,17 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op8_warc": """
+WITH p AS (
+  SELECT row_number() OVER () AS u, page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (
+  SELECT *, first_value(u) OVER w AS last_u, first_value(page_id) OVER w AS last_id FROM p
+  WINDOW w AS (PARTITION BY payload_digest, payload_bytes ORDER BY page_id DESC NULLS LAST, u))
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND u <> last_u THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND u <> last_u THEN last_id END AS refers_to
+FROM r
 """,
     "op11_hard_negatives": """
 WITH v AS (

@@ -92,6 +92,50 @@ def test_warc_null_and_repeated_ids(spark):
     assert sorted(str(r.page_id) for r in warc.round_trip(df).collect()) == ["1", "1", "None"]
 
 
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_warc_one_response_per_payload_whatever_the_ids(spark, monkeypatch, bound):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", bound)
+    a, b, c = "a" * 1200, "b" * 1500, "c" * 1001
+    rows = [(None, "u", a), (7, "u", a), (7, "u", a), (3, "v", a), (None, "u", b), (None, "u", b), (5, "u", c), (5, "u", "c" * 999), (6, "u", "c" * 999)]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    kinds = lambda n: sorted((r.record_type, str(r.page_id), str(r.refers_to)) for r in got if r.payload_bytes == n)
+    assert kinds(1200) == [("response", "7", "None"), ("revisit", "3", "7"), ("revisit", "7", "7"), ("revisit", "None", "7")]
+    assert kinds(1500) == [("response", "None", "None"), ("revisit", "None", "None")]
+    assert kinds(1001) == [("response", "5", "None")] and [k for k, *_ in kinds(999)] == ["response"] * 2
+
+
+def test_warc_files_are_cut_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "FILE_BYTES", 64_000)
+    monkeypatch.setattr(warc, "FILE_CAPTURES", 64)
+    rows = [(k, f"http://h/{k}?q", "x" * (10 if k % 3 else 9_000 + k)) for k in range(60)] + [(100, "http://h", "y" * 200_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"))
+    held, records = [], []
+    for path in (tmp_path / "w").rglob("*.gz"):
+        own = list(warc.parse(path.read_bytes()))
+        records += own
+        held.append(sum(len(r["block"]) for r in own if r["warc-type"] == "response"))
+    assert len(records) == 183 and sorted(held)[-1] > 200_000 and sorted(held)[-2] <= 64_000 * 2
+    by_id = {r["warc-record-id"]: r for r in records}
+    assert len(by_id) == 183
+    for r in records:
+        if r["warc-type"] == "response":
+            assert r["block"].startswith(b"HTTP/1.1 200 OK\r\n") and f"content-length: {len(warc.payload(r))}\r\n".encode() in r["block"].lower()
+        else:
+            assert by_id[r["warc-concurrent-to"]]["warc-type"] == "response"
+    asked = {r["block"] for r in records if r["warc-type"] == "request"}
+    assert b"GET /7?q HTTP/1.1\r\nHost: h\r\n\r\n" in asked and b"GET / HTTP/1.1\r\nHost: h\r\n\r\n" in asked
+    read = warc.read_records(spark, str(tmp_path / "w")).filter("kind = 'response'").collect()
+    assert sorted(r.payload_bytes for r in read) == sorted(len(h) for _, _, h in rows)
+
+
+def test_warc_revisits_name_the_response(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "z" * 2000), (2, "u", "z" * 2000)], "page_id long, url string, html string")
+    warc.write_archives(df, str(tmp_path / "w"))
+    got = {r.kind: r for r in warc.read_records(spark, str(tmp_path / "w")).collect()}
+    assert got["revisit"].refers_to_id == got["response"].record_id and got["revisit"].refers_to == 2
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     start = docs
@@ -107,12 +151,12 @@ def test_every_operator_is_registered():
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_exact_topk", "op6_exact_dedup"])
+@pytest.mark.parametrize("name", ["op1_exact_topk", "op6_exact_dedup", "op8_warc"])
 def test_oracle(spark, name):
     import duckdb
 
     db = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = __spark_entry__.queries()[name](spark, SF)
     want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
