@@ -33,7 +33,7 @@ def test_topk_equals_brute_force_over_many_cells(spark, monkeypatch):
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=12) * (1 + (i % 5 == 0))]) for i in range(1500)]
     rows += [(2000 + i, rows[7][1]) for i in range(20)]  # ties
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
-    for name, value in (("CELL", 700), ("BLOCK", 3), ("START", 16), ("GROW", 2)):
+    for name, value in (("CELL", 300), ("LEAST_CELL", 300), ("BLOCK", 3), ("PART", 70), ("TILE", 2)):
         monkeypatch.setattr(topk, name, value)
     assert got_topk(df, 10, F.col("id") % 100 == 0) == brute_topk(rows, 10, lambda q: q % 100 == 0)
 
@@ -45,6 +45,26 @@ def test_topk_edges(spark):
     assert got_topk(df.limit(0), 10, F.col("id") % 100 == 0) == []
 
 
+def test_topk_of_large_components(spark):
+    """Beyond 2^53 scores are sums of integers; beyond 64 bits the table is refused."""
+    rows = [(i, [float(1 << 17) * (1 + i % 7) + i, -float(1 << 16) + i / 1024]) for i in range(0, 300, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got_topk(df, 4, F.col("id") % 100 == 0) == brute_topk(rows, 4, lambda q: q % 100 == 0)
+    with pytest.raises(OverflowError):
+        topk.search(spark.createDataFrame([(0, [1e18])], "vec_id long, embedding array<double>"), F.col("id") == 0)
+
+
+def test_topk_reading_stops_early():
+    """On a part with a clear winner few candidates are left to resolve."""
+    rng = np.random.default_rng(5)
+    m = np.floor(rng.normal(size=(600, 8)) * 100)
+    m[:12] *= 6
+    part = topk.Lists(np.arange(600), m)
+    for q, left in part.survivors(m[:12], np.arange(12), 5, np.full(12, -np.inf)):
+        best = sorted(range(600), key=lambda c: (-(m[c] @ m[q]), c))
+        assert set([c for c in best if c != q][:5]) <= set(left.tolist()) and len(left) < 300
+
+
 def test_url_rules_and_parts(spark):
     rows = [
         (1, "http://a.Example.COM/en/x?q#f", "a.example.com", "/en/x", "example.com/en/", "block"),
