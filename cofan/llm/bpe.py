@@ -18,6 +18,7 @@ text; repeated rows are encoded each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import unicodedata
@@ -58,13 +59,12 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): k for k, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens: list[str] = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
-        for token, k in [*self.vocab.items(), *self.special.items()]:
-            self.tokens[k] = token
+        self.tokens = _tokens(spec)
         self.token_array = pa.array(self.tokens, pa.string())
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.find_words = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+        self.marks = {s[0] for s in self.special}  # what a special string begins with
         self.white = regex.compile(r"\s+")
         self.symbols = byte_symbols()
         self._forget()
@@ -142,7 +142,7 @@ class WordBpe:
         rows: list[list[int]] = []
         for text in batch:
             out: list[int] = []
-            for piece in self.cut.split(text) if self.cut and "<" in text else (text,):
+            for piece in self.cut.split(text) if self.cut and any(m in text for m in self.marks) else (text,):
                 special = piece in self.special
                 words = ["\0" + piece] if special else self.find_words(self.normalise(piece))
                 try:
@@ -164,11 +164,27 @@ class WordBpe:
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[1].tolist()
 
-    def decode_lists(self, ids: pa.ListArray) -> pa.Array:
-        """Token strings joined by one space: the file names no decoder."""
-        flat = ids.flatten()
-        offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]).astype(np.int32)
-        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.token_array.take(flat)), " ")
+
+def decode_lists(tokens: pa.Array, ids: pa.ListArray) -> pa.Array:
+    """Token strings joined by one space: the file names no decoder."""
+    flat = ids.flatten()
+    offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), tokens.take(flat)), " ")
+
+
+def _tokens(spec: dict) -> list[str]:
+    ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    out = [""] * (1 + max(ids.values()))
+    for token, k in [*spec["model"]["vocab"].items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]:
+        out[k] = token
+    return out
+
+
+@lru_cache(maxsize=2)
+def token_strings(path: str) -> pa.Array:
+    """The token strings of a file by id."""
+    with open(path, encoding="utf-8") as f:
+        return pa.array(_tokens(json.load(f)), pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -193,25 +209,34 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``encoded`` and the text that each id list decodes to (null: empty)."""
+    """``encoded`` and the text that each id list decodes to (null: empty).  Only the
+    token strings are loaded."""
     schema = T.StructType([f for f in encoded.schema.fields if f.name != out_col] + [T.StructField(out_col, T.StringType())])
     rest = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model(vocabulary)
+        tokens = token_strings(vocabulary)
         for batch in batches:
             for piece in in_slices(iter([batch]), ids_col, 16 << 20):
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), bpe.decode_lists(piece.column(ids_col))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), decode_lists(tokens, piece.column(ids_col))], names=schema.names)
 
     return encoded.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    coded = encode(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), vocabulary).drop("text")
-    return decode(coded, vocabulary).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document: encoded and
+    decoded in one step, so that a task has one Python worker and one model."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256"))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = model(vocabulary)
+        for batch in in_slices(batches, "text", 2 << 20):
+            offsets, ids = bpe.encode_batch(texts(batch.column("text")))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            shown = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids).cast(pa.string())), " ")
+            sha = lambda column: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)), sha(shown), sha(decode_lists(bpe.token_array, lists))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
