@@ -87,8 +87,9 @@ def test_jaccard_edges(spark, edge):
 
 
 def test_jaccard_chains_and_unlinked_members(spark, monkeypatch):
-    """One hot shingle list whose members link in chains, beyond the rounds."""
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+    """One hot shingle list whose members link in chains, over many small blocks."""
+    for name, value in (("HOT", 2), ("BLOCK", 3), ("WIDE", 4)):
+        monkeypatch.setattr(jaccard_join, name, value)
     passage = [f"p{k}" for k in range(14)]
     rows = []
     for g in range(6):
