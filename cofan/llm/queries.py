@@ -127,6 +127,25 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op2_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+'), lambda w: w <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM d),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(s) AS t FROM s),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM e x JOIN e y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+l AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n_shingles + y.n_shingles - k)),
+c(a, b) AS (SELECT a, b FROM l UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a),
+r AS (SELECT a, min(b) AS low FROM c GROUP BY a),
+m AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT n.doc_id, n_shingles, least(n.doc_id, coalesce(low, n.doc_id)) AS component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM n LEFT JOIN r ON r.a = n.doc_id LEFT JOIN m ON m.a = n.doc_id
 """,
     "op8_warc": """
 WITH p AS (
