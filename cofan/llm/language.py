@@ -15,7 +15,8 @@ sample does not hold take the escape path, so every text gets its exact code
 length.
 
 Text that is null or has no letter is ``und`` with score 0; empty and very long
-texts are scored whole; without learned languages every text is ``und``.
+texts are scored whole; bytes that are not UTF-8 count as U+FFFD when scored;
+without learned languages every text is ``und``.
 Repeated rows are scored each; an empty table gives an empty result; columns
 other than id and text are never inputs of a prediction.
 """
@@ -30,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cofan.llm.common import in_slices, text_bytes
+from cofan.llm.common import in_slices, text_bytes, texts
 
 ORDER = 3
 SAMPLE_ROWS = 150
 UND = "und"
 SLOTS = 1 << 20
-CHUNK = 1 << 21  # windows at a time, times languages
+CHUNK = 1 << 22  # windows at a time, times languages at a time
+LANGS = 16  # languages at a time
 
 
 def grams(data: np.ndarray, n: int) -> np.ndarray:
@@ -63,48 +65,64 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, n int, gram long, seen long").groupBy("lang", "n", "gram").agg(F.sum("seen").alias("seen"))
 
 
+class Sparse:
+    """Counts by (key, language), those that are not zero only."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, seen: np.ndarray) -> None:
+        order = np.lexsort((lang, key))
+        self.keys, starts = np.unique(key[order], return_index=True)
+        self.starts = np.append(starts, len(order)).astype(np.int64)
+        self.lang, self.seen = lang[order].astype(np.int32), seen[order].astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each wanted key, -1 where it is absent."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, at, -1)
+
+    def dense(self, at: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """Counts of the keys at the places ``at`` under languages ``lo`` to ``hi``."""
+        out = np.zeros((len(at), hi - lo))
+        rows = np.flatnonzero(at >= 0)
+        first = self.starts[at[rows]]
+        sizes = self.starts[at[rows] + 1] - first
+        entry = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        row, lang = np.repeat(rows, sizes), self.lang[entry]
+        own = (lang >= lo) & (lang < hi)
+        out[row[own], lang[own] - lo] = self.seen[entry[own]]
+        return out
+
+
 class Ppm:
-    """Frozen code lengths of all languages."""
+    """Frozen code lengths of all languages.  Memory follows the windows that each
+    language's sample holds, not windows times languages."""
 
     def __init__(self, counts: pa.Table) -> None:
         self.langs: list[str] = sorted(set(counts.column("lang").to_pylist()))
         lang = np.searchsorted(np.array(self.langs, dtype=object), np.array(counts.column("lang").to_pylist(), dtype=object)) if self.langs else np.zeros(0, int)
         n, gram, seen = (counts.column(c).to_numpy() for c in ("n", "gram", "seen"))
-        width = len(self.langs)
-        self.keys: list[np.ndarray] = []
-        self.seen: list[np.ndarray] = []
-        self.contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        width = max(len(self.langs), 1)
+        self.grams: list[Sparse] = []
+        self.contexts: list[tuple[Sparse, Sparse]] = []  # bytes seen after a context, and how many different ones
         for size in range(1, ORDER + 2):
             own = n == size
-            keys, at = np.unique(gram[own], return_inverse=True)
-            table = np.zeros((len(keys), width))
-            np.add.at(table, (at, lang[own]), seen[own])
-            self.keys.append(keys)
-            self.seen.append(table)
-            ctx, of = np.unique(keys >> 8, return_inverse=True)
-            total, kinds = np.zeros((len(ctx), width)), np.zeros((len(ctx), width))
-            np.add.at(total, of, table)
-            np.add.at(kinds, of, table > 0)
-            self.contexts.append((ctx, total, kinds))
-        self.index = self.base = None
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-        return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
-
-    def bits(self, gram: np.ndarray, order: int) -> np.ndarray:
-        """Code length, per language, of the last byte of each window after the
-        ``order`` bytes before it."""
-        cost = np.zeros((len(gram), len(self.langs)))
+            self.grams.append(Sparse(gram[own], lang[own], seen[own]))
+            pair, of = np.unique((gram[own] >> 8) * width + lang[own], return_inverse=True)
+            total = np.bincount(of, seen[own], len(pair))
+            self.contexts.append(tuple(Sparse(pair // width, pair % width, c) for c in (total, np.bincount(of, minlength=len(pair)))))
+        self.index = None
+
+    def bits(self, gram: np.ndarray, order: int, lo: int, hi: int) -> np.ndarray:
+        """Code length, under languages ``lo`` to ``hi``, of the last byte of each
+        window after the ``order`` bytes before it."""
+        cost = np.zeros((len(gram), hi - lo))
         open_ = np.ones(cost.shape, bool)
         for k in range(order, -1, -1):
             g = gram & ((1 << 8 * (k + 1)) - 1)
-            at, hit = self._find(self.keys[k], g)
-            ctx, total, kinds = self.contexts[k]
-            ca, chit = self._find(ctx, g >> 8)
-            count = np.where(hit[:, None], self.seen[k][at], 0)
-            t, d = np.where(chit[:, None], total[ca], 0), np.where(chit[:, None], kinds[ca], 0)
+            total, kinds = self.contexts[k]
+            ctx = total.find(g >> 8)
+            count, t, d = self.grams[k].dense(self.grams[k].find(g), lo, hi), total.dense(ctx, lo, hi), kinds.dense(ctx, lo, hi)
             there = open_ & (count > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
                 cost += np.where(there, np.log2((t + d) / count), 0)
@@ -113,10 +131,8 @@ class Ppm:
         return cost + 8.0 * open_
 
     def _build(self) -> None:
-        """Code lengths of all windows of the sample, in a table found by a hash;
-        windows that share a slot with another are found by search."""
-        keys = self.keys[ORDER]
-        self.base = np.concatenate([self.bits(keys, ORDER), np.zeros((1, len(self.langs)))])
+        """A table, found by a hash, of the places of the sample's windows."""
+        keys = self.grams[ORDER].keys
         self.index = np.full(SLOTS, len(keys), np.int32)
         self.index[self._slot(keys.astype(np.uint32))] = np.arange(len(keys), dtype=np.int32)
         self.keys32 = np.append(keys, 0).astype(np.uint32)
@@ -125,6 +141,19 @@ class Ppm:
     def _slot(g: np.ndarray) -> np.ndarray:
         return (g * np.uint32(2654435761)) >> np.uint32(12)
 
+    def _distinct(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct windows of ``g`` and the place of each window among them.
+        Windows outside the table, or whose slot another holds, are sorted."""
+        at = self.index[self._slot(g)]
+        right = (self.keys32[at] == g) & (at < len(self.keys32) - 1)
+        used = np.zeros(len(self.keys32), bool)
+        used[at[right]] = True
+        place = np.cumsum(used) - 1
+        odd, back = np.unique(g[~right], return_inverse=True)
+        of = np.where(right, place[at], 0)
+        of[~right] = used.sum() + back
+        return np.concatenate([self.keys32[used], odd]).astype(np.int64), of
+
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each whole text under each language."""
         if self.index is None:
@@ -138,21 +167,24 @@ class Ppm:
             own = np.flatnonzero(sizes > j)
             if len(own):
                 gram = sum(data[starts[own] + i].astype(np.int64) << 8 * (j - i) for i in range(j + 1))
-                out[own] += self.bits(gram, j)
+                for lo, hi in self._blocks():
+                    out[own, lo:hi] += self.bits(gram, j, lo, hi)
         last = np.maximum(ends - ORDER, starts)  # windows of a text start before this
-        chunk = min(1 << 19, max(1 << 10, CHUNK // len(self.langs)))
+        chunk = max(CHUNK // min(len(self.langs), LANGS), 1)
         for c in range(0, len(data) - ORDER, chunk):
             g = grams(data[c : c + chunk + ORDER], ORDER + 1)
-            at = self.index[self._slot(g)]
-            wrong = np.flatnonzero((self.keys32[at] != g) | (at == len(self.base) - 1))
-            cost = np.take(self.base, at, axis=0)
-            if len(wrong):
-                odd, back = np.unique(g[wrong], return_inverse=True)
-                cost[wrong] = self.bits(odd.astype(np.int64), ORDER)[back]
-            sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(cost, axis=0)])
-            out += sums[np.clip(last - c, 0, len(g))] - sums[np.clip(starts - c, 0, len(g))]
+            windows, of = self._distinct(g)
+            ends_at, starts_at = np.clip(last - c, 0, len(g)), np.clip(starts - c, 0, len(g))
+            for lo, hi in self._blocks():
+                cost = np.take(self.bits(windows, ORDER, lo, hi), of, axis=0)
+                sums = np.concatenate([np.zeros((1, hi - lo)), np.cumsum(cost, axis=0)])
+                out[:, lo:hi] += sums[ends_at] - sums[starts_at]
         return out
 
+    def _blocks(self) -> list[tuple[int, int]]:
+        """Languages scored at a time."""
+        return [(lo, min(lo + LANGS, len(self.langs))) for lo in range(0, len(self.langs), LANGS)]
+
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Ppm:
     """Learn from rows with a non-null language."""
@@ -172,12 +204,12 @@ def predict(docs: DataFrame, model: Ppm, text_col: str = "text", pred_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ppm = shared.value
         for batch in in_slices(batches, text_col, 2 << 20):
-            texts = batch.column(text_col).to_pylist()
-            some = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))] if ppm.langs else []
-            names: list[str] = [UND] * len(texts)
-            scores = np.zeros(len(texts))
+            values = texts(batch.column(text_col))
+            some = [k for k, t in enumerate(values) if any(map(str.isalpha, t))] if ppm.langs else []
+            names: list[str] = [UND] * len(values)
+            scores = np.zeros(len(values))
             if some:
-                bits = ppm.lengths([texts[k].encode("utf-8") for k in some])
+                bits = ppm.lengths([values[k].encode("utf-8") for k in some])
                 best = bits.argmin(axis=1)
                 odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0))
                 scores[some] = 1 / odds.sum(axis=1)

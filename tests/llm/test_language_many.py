@@ -1,6 +1,10 @@
 """More labelled languages than the former bound of 200."""
 
+import numpy as np
+import pytest
+
 from cofan.llm import language
+from tests.llm.test_texts import code_length
 
 
 def test_every_labelled_language_is_learned(spark):
@@ -10,3 +14,31 @@ def test_every_labelled_language_is_learned(spark):
     model = language.learn(df)
     assert model.langs == sorted({r[2] for r in rows})
     assert language.predict(df, model).filter("lang_pred = lang").count() == len(rows)
+
+
+def test_blocks_of_languages_and_windows_change_nothing(spark, monkeypatch):
+    rows = [(k, f"{'abcdefg'[k]}a b{k} the {'xyzuvwq'[k] * 3} né", f"l{k}") for k in range(7)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tests = ["", "a", "the", "né né xxx", "☃ the xyz ba " * 9, "bbbb the vvv"]
+    whole = model.lengths([t.encode() for t in tests])
+    monkeypatch.setattr(language, "LANGS", 2)
+    monkeypatch.setattr(language, "CHUNK", 7)
+    for t, want in zip(tests, whole):
+        assert np.allclose(model.lengths([t.encode()])[0], want, rtol=1e-12)
+    for lang, want in zip(model.langs, whole[4]):
+        assert want == pytest.approx(code_length(tests[4].encode(), [x.encode() for _, x, y in rows if y == lang]), rel=1e-9)
+
+
+def test_the_model_holds_what_the_samples_hold(spark):
+    """Languages without a common window add their own windows only."""
+    texts = ["".join(chr(0x4E00 + 97 * k + j) for j in range(90)) for k in range(40)]
+    model = language.learn(spark.createDataFrame([(k, t, f"l{k:02}") for k, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    assert sum(len(g.seen) for g in model.grams) <= sum((language.ORDER + 1) * len(t.encode()) for t in texts)
+
+
+def test_bytes_that_are_not_utf8(spark):
+    known = language.learn(spark.createDataFrame([(1, "the cat", "en"), (2, "le chat", "fr")], "doc_id long, text string, lang string"))
+    df = spark.sql("SELECT 1L AS doc_id, cast(X'74686520FF636174' AS string) AS text UNION ALL SELECT 2L, cast(X'FFFE' AS string)")
+    got = {r.doc_id: r.lang_pred for r in language.predict(df, known).select("doc_id", "lang_pred").collect()}
+    assert got == {1: "en", 2: "und"}
+    assert language.learn(df.selectExpr("doc_id", "text", "'en' AS lang")).langs == ["en"]
