@@ -37,7 +37,8 @@ ORDER = 3
 SAMPLE_ROWS = 150
 UND = "und"
 SLOTS = 1 << 20
-CHUNK = 1 << 22  # windows at a time, times languages at a time
+WINDOWS = 1 << 20  # windows whose distinct ones are looked up at a time
+CHUNK = 1 << 18  # windows summed at a time, times languages at a time
 LANGS = 16  # languages at a time
 
 
@@ -45,7 +46,8 @@ def grams(data: np.ndarray, n: int) -> np.ndarray:
     """The n-byte windows of ``data`` as integers, the last byte lowest."""
     out = np.zeros(max(len(data) - n + 1, 0), np.uint32)
     for k in range(n):
-        out = (out << np.uint32(8)) | data[k : len(data) - n + 1 + k]
+        out <<= np.uint32(8)
+        out |= data[k : len(data) - n + 1 + k]
     return out
 
 
@@ -148,9 +150,9 @@ class Ppm:
         right = (self.keys32[at] == g) & (at < len(self.keys32) - 1)
         used = np.zeros(len(self.keys32), bool)
         used[at[right]] = True
-        place = np.cumsum(used) - 1
+        place = np.cumsum(used, dtype=np.int32) - np.int32(1)
         odd, back = np.unique(g[~right], return_inverse=True)
-        of = np.where(right, place[at], 0)
+        of = np.where(right, place[at], np.int32(0))
         of[~right] = used.sum() + back
         return np.concatenate([self.keys32[used], odd]).astype(np.int64), of
 
@@ -170,15 +172,19 @@ class Ppm:
                 for lo, hi in self._blocks():
                     out[own, lo:hi] += self.bits(gram, j, lo, hi)
         last = np.maximum(ends - ORDER, starts)  # windows of a text start before this
-        chunk = max(CHUNK // min(len(self.langs), LANGS), 1)
-        for c in range(0, len(data) - ORDER, chunk):
-            g = grams(data[c : c + chunk + ORDER], ORDER + 1)
-            windows, of = self._distinct(g)
-            ends_at, starts_at = np.clip(last - c, 0, len(g)), np.clip(starts - c, 0, len(g))
+        part = max(CHUNK // min(len(self.langs), LANGS), 1)
+        for c in range(0, len(data) - ORDER, WINDOWS):
+            windows, of = self._distinct(grams(data[c : c + WINDOWS + ORDER], ORDER + 1))
             for lo, hi in self._blocks():
-                cost = np.take(self.bits(windows, ORDER, lo, hi), of, axis=0)
-                sums = np.concatenate([np.zeros((1, hi - lo)), np.cumsum(cost, axis=0)])
-                out[:, lo:hi] += sums[ends_at] - sums[starts_at]
+                bits = self.bits(windows, ORDER, lo, hi)
+                for p in range(0, len(of), part):
+                    own = of[p : p + part]
+                    # The texts that hold some of these windows.
+                    a, b = np.searchsorted(ends, c + p, "right"), np.searchsorted(starts, c + p + len(own))
+                    sums = np.zeros((len(own) + 1, hi - lo))
+                    np.cumsum(bits[own], axis=0, out=sums[1:])
+                    ends_at, starts_at = (np.clip(x[a:b] - (c + p), 0, len(own)) for x in (last, starts))
+                    out[a:b, lo:hi] += sums[ends_at] - sums[starts_at]
         return out
 
     def _blocks(self) -> list[tuple[int, int]]:

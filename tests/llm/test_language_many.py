@@ -1,5 +1,7 @@
 """More labelled languages than the former bound of 200."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -42,3 +44,27 @@ def test_bytes_that_are_not_utf8(spark):
     got = {r.doc_id: r.lang_pred for r in language.predict(df, known).select("doc_id", "lang_pred").collect()}
     assert got == {1: "en", 2: "und"}
     assert language.learn(df.selectExpr("doc_id", "text", "'en' AS lang")).langs == ["en"]
+
+
+def test_scoring_takes_little_memory_beside_the_texts(spark):
+    """The pipeline's language stage shares an executor's memory with the model of encode."""
+    model = language.learn(spark.createDataFrame([(k, f"{x} the cat le chat", x * 3) for k, x in enumerate("abcd")], "doc_id long, text string, lang string"))
+    batch = [b"the cat or le chat aaa bbb " * 400] * 200  # 2 MB
+    model.lengths(batch)
+    tracemalloc.start()
+    try:
+        model.lengths(batch)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("windows, chunk", [(1, 1), (5, 8), (13, 8), (64, 4096)])
+def test_texts_that_cross_blocks(spark, monkeypatch, windows, chunk):
+    rows = [(1, "the cat sat on the mat", "en"), (2, "le chat est sur le tapis", "fr")]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [b"", b"t", b"the cat", b"", b"le chat est sur the mat " * 3, b"abc", b"tapis", b""]
+    alone = [model.lengths([t])[0] for t in texts]
+    monkeypatch.setattr(language, "WINDOWS", windows)
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    assert np.allclose(model.lengths(texts), alone, rtol=1e-12)
