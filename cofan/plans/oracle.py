@@ -131,12 +131,15 @@ shaped AS (
 ),
 candidates AS (
   SELECT query_title, release_year, 1 AS attempt, position, title, original_title, release_date, poster_path
-  FROM shaped WHERE k % 9 < 5
+  FROM shaped
   UNION ALL
   SELECT query_title, release_year, 2 AS attempt, position, title, original_title, release_date, poster_path
   FROM shaped WHERE release_year IS NOT NULL
 )"""
 
+#: The candidates of the cards: the first attempt lists five keys of nine.
+CARD_CANDIDATES = CANDIDATES.replace("FROM shaped\n", "FROM shaped WHERE k % 9 < 5\n")
+
 DIRTY = """
 dirty_ratings AS (
   SELECT CASE WHEN userId % 97 = 0 THEN 'u' ELSE '' END || CAST(userId AS VARCHAR) AS "userId",

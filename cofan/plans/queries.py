@@ -613,10 +613,7 @@ def title_search(spark, sf_dir):
     return movies.filter(F.col("title").contains("ring")).select("movieId", "title")
 
 
-@register(
-    "catalog_best_match",
-    O.with_views(
-        """
+_BEST_MATCH = """
 SELECT query_title, release_year, attempt, position, title, release_date, poster_path,
        CASE tier WHEN 1 THEN 'title_and_year' WHEN 2 THEN 'title' WHEN 3 THEN 'year' ELSE 'fallback' END AS match_tier,
        'https://image.tmdb.org/t/p/w500' || poster_path AS image_url
@@ -636,10 +633,10 @@ FROM (
       WHERE poster_path IS NOT NULL AND poster_path <> ''
     )
   )
-) WHERE rn = 1""",
-        O.CANDIDATES,
-    ),
-)
+) WHERE rn = 1"""
+
+
+@register("catalog_best_match", O.with_views(_BEST_MATCH, O.CANDIDATES))
 def catalog_best_match(spark, sf_dir):
     cands = testdata.catalogue_candidates(testdata.table(spark, sf_dir, "part"))
     return C.best_matches(cands)
@@ -731,7 +728,7 @@ FROM (SELECT *, {clean} AS clean, {year} AS yr FROM recs0) r
 LEFT JOIN picks p ON p.query_title = r.clean AND p.release_year IS NOT DISTINCT FROM r.yr"""
     recs = O.corated_sql(O.seed_sources_sql(SEED_EXACT), 10)
     return O.with_views(
-        body, f"recs0 AS (SELECT * FROM ({recs})),\npicks AS (SELECT * FROM ({SQL['catalog_best_match']}))"
+        body, f"recs0 AS (SELECT * FROM ({recs})),\npicks AS (SELECT * FROM ({O.with_views(_BEST_MATCH, O.CARD_CANDIDATES)}))"
     )
 
 
@@ -739,7 +736,7 @@ LEFT JOIN picks p ON p.query_title = r.clean AND p.release_year IS NOT DISTINCT
 def recommendation_cards(spark, sf_dir):
     ratings, movies = testdata.load(spark, sf_dir)
     recs = corating.recommend_similar(ratings, movies, SEED_EXACT, top_n=10, check=False)
-    picks = C.best_matches(testdata.catalogue_candidates(testdata.table(spark, sf_dir, "part")))
+    picks = C.best_matches(testdata.card_candidates(testdata.table(spark, sf_dir, "part")))
     return result_cards(recs, picks)
 
 

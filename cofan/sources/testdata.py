@@ -117,8 +117,8 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
     (k % 6 = 1) or ``name (sequel)``; original title = the name when k % 4 = 0,
     else the type; release date = empty (k % 7 = 0), ``(1950+size)-01-01`` for
     even k, ``(1951+size)-01-01`` for odd k; image path NULL (k % 5 = 0), empty
-    (k % 10 = 3) or ``/p<k>.jpg``.  Attempt 1 lists the candidates with k % 9 < 5 at
-    position k; attempt 2 lists all of them when the query has a year.
+    (k % 10 = 3) or ``/p<k>.jpg``.  Attempt 1 lists every candidate at
+    position k; attempt 2 repeats them when the query has a year.
     """
     own_year = (F.lit(1950) + F.col("p_size")).cast("string")
     first_word = F.regexp_extract(F.col("p_name"), r"^(\S+)", 1)
@@ -142,7 +142,6 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
     shaped = cands.select(
         "query_title",
         "release_year",
-        k,
         k.cast("int").alias("position"),
         F.when(k % 6 == 0, F.upper("p_name"))
         .when(k % 6 == 1, F.col("p_name"))
@@ -157,8 +156,14 @@ def catalogue_candidates(part: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("/p"), k.cast("string"), F.lit(".jpg")))
         .alias("poster_path"),
     )
-    attempt1 = shaped.filter(k % 9 < 5).withColumn("attempt", F.lit(1))
+    attempt1 = shaped.withColumn("attempt", F.lit(1))
     attempt2 = shaped.filter(F.col("release_year").isNotNull()).withColumn("attempt", F.lit(2))
     return attempt1.unionByName(attempt2).select(
         "query_title", "release_year", "attempt", "position", "title", "original_title", "release_date", "poster_path"
     )
+
+
+def card_candidates(part: DataFrame) -> DataFrame:
+    """``catalogue_candidates`` whose first attempt lists positions with k % 9 < 5, so
+    that the second one finds more."""
+    return catalogue_candidates(part).filter((F.col("attempt") == 2) | (F.col("position") % 9 < 5))

@@ -88,3 +88,17 @@ def test_movie_panel(spark, ratings):
     r = C.movie_panel(movies, ratings, "Matrix, The (1999)").collect()[0]
     assert (r["display_title"], r["genres_text"]) == ("The Matrix (1999)", "Genres unavailable")
     assert C.movie_panel(movies, ratings, "absent").count() == 0
+
+
+def test_best_match_reads_every_candidate(spark, tmp_path):
+    """Keys of every remainder of nine, under a query without a year (attempt 1 alone)
+    and under one with a year."""
+    from cofan.plans import queries
+    from cofan.sources import testdata
+
+    rows = [(k, f"{w}{k} ring", "Brand#1", "Type", 10) for k in (11, 14, 16, 17, 22) for w in ("a", "bc")]
+    part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    got = {(r["query_title"], r["attempt"]) for r in queries.catalog_best_match(spark, str(tmp_path)).collect()}
+    assert got == {(q, 1) for w in ("a", "bc") for k in (11, 14, 16, 17, 22) for q in (f"{w}{k}", f"{w}{k} ring")}
+    assert testdata.catalogue_candidates(part).filter("attempt = 1").count() == 2 * len(rows)
