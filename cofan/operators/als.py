@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cofan.operators.aggregates import rating_counts
+from cofan.operators.factor_topk import top_items
 from cofan.session import checkpoint_dir
 
 # ---- fixed values (published experiment settings) ------------------------------
@@ -24,6 +25,9 @@ SPLIT_WEIGHTS = (0.8, 0.2)
 SPLIT_SEED = 42
 # ----------------------------------------------------------------------------------
 
+#: Pairs of users and items up to which Spark ML scores them all.
+PAIRS = 1 << 26
+
 
 def fit(train: DataFrame, checkpoint_interval: int = 10, **params) -> ALSModel:
     checkpoint_dir(train.sparkSession)
@@ -59,9 +63,13 @@ def flatten(nested: DataFrame) -> DataFrame:
 
 
 def recommend_all(model: ALSModel, k: int = 10) -> DataFrame:
-    """Top ``k`` items of every user in the model.  Spark ML blocks both factor tables
-    and merges the best of every pair of blocks."""
-    return flatten(model.recommendForAllUsers(int(k)))
+    """Top ``k`` items of every user in the model.  Spark ML scores every pair; a model
+    of more than ``PAIRS`` pairs goes through ``factor_topk``, which gives the same
+    scores and leaves out items that bounds exclude."""
+    users, items = model.userFactors, model.itemFactors
+    if users.count() * items.count() <= PAIRS:
+        return flatten(model.recommendForAllUsers(int(k)))
+    return top_items(users, items, int(k))
 
 
 def recommend_for_users(model: ALSModel, users: DataFrame, k: int = 10) -> DataFrame:
