@@ -9,6 +9,8 @@ does not replay the whole lineage.  Ids beyond 32 bits go through ``operators.id
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -28,13 +30,31 @@ SPLIT_SEED = 42
 #: Pairs of users and items up to which Spark ML scores them all.
 PAIRS = 1 << 26
 
+#: Blocks of users and of items, Spark ML's default, and the ratings up to which one more
+#: block is not needed: a task holds all of a block, several times over while it is built.
+BLOCKS = 10
+BLOCK_RATINGS = 1 << 22
+
+
+def blocks_for(ratings: int) -> int:
+    """Blocks of users (and of items) in which Spark ML fits so many ratings."""
+    return max(BLOCKS, math.ceil(ratings / BLOCK_RATINGS))
+
 
 def fit(train: DataFrame, checkpoint_interval: int = 10, **params) -> ALSModel:
+    """The model of all rows of ``train``.  Tables of more than ``BLOCKS`` blocks of
+    ``BLOCK_RATINGS`` are fitted in more blocks.  They are dealt by their user's block
+    first, as a task keeps a buffer for each pair of blocks that it meets."""
     checkpoint_dir(train.sparkSession)
     p = {**ALS_PARAMS, **params}
+    rows = train.select("userId", "movieId", "rating")
+    blocks = blocks_for(rows.count())
+    if blocks > BLOCKS:
+        p = {"numUserBlocks": blocks, "numItemBlocks": blocks, **p}
+        rows = rows.repartition(blocks, F.pmod(F.col("userId").cast("int"), F.lit(int(p["numUserBlocks"]))))
     als = ALS(userCol="userId", itemCol="movieId", ratingCol="rating",
               checkpointInterval=checkpoint_interval, **p)
-    return als.fit(train.select("userId", "movieId", "rating"))
+    return als.fit(rows)
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:

@@ -113,13 +113,23 @@ def _short_lists(items: DataFrame, tile: np.ndarray, c: np.ndarray) -> DataFrame
     """``tile, shorts``: the factors of the ``SHORT`` best items for each tile's centre."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The best of the partition so far, per TILES tiles, not of each batch.
+        score = [np.zeros((len(c[a : a + TILES]), 0)) for a in range(0, len(tile), TILES)]
+        held = [np.zeros((*x.shape, c.shape[1]), np.float32) for x in score]
         for b in batches:
-            v = _matrix(b.column("features"))
-            for a in range(0, len(tile) if len(v) else 0, TILES):
-                s = c[a : a + TILES] @ v.T
+            v = _matrix(b.column("features")) if b.num_rows else ()
+            for k in range(len(score) if len(v) else 0):
+                s = c[k * TILES : (k + 1) * TILES] @ v.T
                 n = min(SHORT, len(v))
                 best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(tile[a : a + TILES], n)), pa.array(np.take_along_axis(s, best, axis=1).ravel()), _lists(v[best.ravel()], pa.float32())], names=["tile", "score", "features"])
+                s = np.hstack([score[k], np.take_along_axis(s, best, axis=1)])
+                f = np.concatenate([held[k], v[best]], axis=1)
+                n = min(SHORT, s.shape[1])
+                best = np.argpartition(-s, n - 1, axis=1)[:, :n]
+                score[k], held[k] = np.take_along_axis(s, best, axis=1), np.take_along_axis(f, best[:, :, None], axis=1)
+        for k, (s, f) in enumerate(zip(score, held)):
+            if s.size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(tile[k * TILES : (k + 1) * TILES], s.shape[1])), pa.array(s.ravel()), _lists(f.reshape(-1, f.shape[2]), pa.float32())], names=["tile", "score", "features"])
 
     found = items.mapInArrow(run, "tile long, score double, features array<float>")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("tile").orderBy(F.desc("score"))))
